@@ -93,13 +93,12 @@ def label_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     GROUP BY 1"""
 )
 def label_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Plots by decoded use."""
+    """Plots by decoded use, counted by code before the codes are decoded."""
     plots = survey_frame(spark, sf_dir, "plots")
     labels = value_label_frame(spark, plots, ["plot_use"])
-    return (
-        decode(plots, "plot_use", labels, "answer")
-        .groupBy(F.coalesce("answer", F.lit("no answer")).alias("answer"))
-        .agg(F.count(F.lit(1)).alias("n"))
+    counted = plots.groupBy("plot_use").agg(F.count(F.lit(1)).alias("n"))
+    return decode(counted, "plot_use", labels, "answer").select(
+        F.coalesce("answer", F.lit("no answer")).alias("answer"), "n"
     )
 
 
@@ -446,13 +445,12 @@ def any_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     cases = survey_frame(spark, sf_dir, "cases").select(CASE_KEY)
     members = survey_frame(spark, sf_dir, "members")
     flags = roll_up(
-        case_roster_join(cases, members),
-        {"skipping": any_true(worked), "strict": any_true_or_unknown(worked)},
+        members, {"skipping": any_true(worked), "strict": any_true_or_unknown(worked)}
     )
     strict = F.col("strict")
-    return flags.select(
+    return multiway_case_join(cases, flags).select(
         CASE_KEY,
-        F.col("skipping").cast("int").alias("skipping"),
+        flag(F.col("skipping")).alias("skipping"),
         F.when(strict, "yes").when(~strict, "no").otherwise("unknown").alias("strict"),
     )
 

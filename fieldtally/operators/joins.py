@@ -11,13 +11,20 @@ from fieldtally.operators.rollup import CASE_KEY
 
 
 def case_roster_join(cases: DataFrame, roster: DataFrame) -> DataFrame:
-    """Row-level left join; a case without roster rows keeps one row of NULLs."""
-    return cases.join(roster, CASE_KEY, "left")
+    """Row-level left join; a case without roster rows keeps one row of NULLs.
+
+    Written as an inner join plus the cases the roster lacks.  Adaptive
+    execution can split an interview that holds a large part of the roster in an
+    inner join, but not on the right side of an outer join.
+    """
+    matched = cases.join(roster, CASE_KEY)
+    lacking = cases.join(roster.select(CASE_KEY).distinct(), CASE_KEY, "left_anti")
+    return matched.unionByName(lacking, allowMissingColumns=True)
 
 
 def multiway_case_join(cases: DataFrame, *rolled: DataFrame) -> DataFrame:
-    """Chain of left joins on the interview id, all on one shuffle key."""
-    return reduce(case_roster_join, rolled, cases)
+    """Left joins to frames with at most one row per interview, on one shuffle key."""
+    return reduce(lambda left, right: left.join(right, CASE_KEY, "left"), rolled, cases)
 
 
 def null_safe_left_join(
