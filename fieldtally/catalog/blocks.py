@@ -7,14 +7,13 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldtally.catalog.frames import LABELS, survey_cte, survey_frame
 from fieldtally.catalog.report_sql import REPORT_SQL, share
 from fieldtally.catalog.reports import (
     DK,
-    PERMANENT_CROPS,
     TEMPORARY_CROPS,
     USE_VALS,
     report_table,
@@ -50,9 +49,11 @@ class Block:
 BLOCKS: dict[str, Block] = {}
 
 
-def _block(sql: str) -> Callable[[Query], Query]:
+def _block(key: str, sql: str) -> Callable[[Query], Query]:
+    """Register the decorated query under ``key``, with the SQL to check it."""
+
     def register(query: Query) -> Query:
-        BLOCKS[query.__name__] = Block(query, sql)
+        BLOCKS[key] = Block(query, sql)
         return query
 
     return register
@@ -63,14 +64,19 @@ def _codes(codes: list[int]) -> str:
 
 
 def _label_values_sql(frame: str, variable: str) -> str:
-    rows = ", ".join(f"({c}, '{t}')" for c, t in LABELS[frame, variable])
-    return f"(SELECT * FROM (VALUES {rows.replace(chr(39) + 't ', chr(39) * 2 + 't ')}) v(value, label))"
+    quote = "'"
+    rows = ", ".join(
+        f"({code}, '{text.replace(quote, quote * 2)}')"
+        for code, text in LABELS[frame, variable]
+    )
+    return f"(SELECT * FROM (VALUES {rows}) v(value, label))"
 
 
 # Labels
 
 
 @_block(
+    "label_values",
     survey_cte("plots")
     + f"""SELECT 'plot_use' AS var, v.value AS value, COUNT(plot_use) AS n
     FROM {_label_values_sql("plots", "plot_use")} v LEFT JOIN plots ON plot_use = v.value
@@ -87,6 +93,7 @@ def label_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_block(
+    "label_texts",
     survey_cte("plots")
     + f"""SELECT COALESCE(v.label, 'no answer') AS answer, COUNT(*) AS n
     FROM plots LEFT JOIN {_label_values_sql("plots", "plot_use")} v ON plot_use = v.value
@@ -103,6 +110,7 @@ def label_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_block(
+    "column_labels",
     survey_cte("plots")
     + f"""SELECT concat('plot_use__', CAST(v.value AS STRING)) AS statistic,
       concat(v.label, ' (', CAST(v.value AS STRING), ')') AS label, COUNT(plot_use) AS n
@@ -123,6 +131,7 @@ def column_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_block(
+    "option_dummies",
     survey_cte("plots")
     + """SELECT interview__id,
       """
@@ -143,13 +152,11 @@ def option_dummy_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-BLOCKS["option_dummies"] = BLOCKS.pop("option_dummy_sums")
-
-
 # Missing values and options
 
 
 @_block(
+    "null_ratio",
     survey_cte("livestock")
     + """SELECT interview__id, CASE WHEN SUM(p) > 0 THEN CAST(SUM(s) AS DOUBLE) / SUM(p) END AS sold
     FROM (SELECT interview__id, CASE WHEN produced = 1 THEN 1 ELSE 0 END AS p,
@@ -175,6 +182,7 @@ def null_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_block(
+    "any_option",
     survey_cte("parcels")
     + """SELECT CASE WHEN use__1 = 1 OR use__n98 = 1 THEN 'yes'
            WHEN NOT (use__1 = 1 OR use__n98 = 1) THEN 'no' ELSE 'unknown' END AS agricultural,
@@ -190,19 +198,15 @@ def any_option_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-BLOCKS["any_option"] = BLOCKS.pop("any_option_selected")
-
-
 def _cell_sql(value: str, scale: str = "") -> str:
     return (
         f"CASE WHEN {value} = CAST('infinity' AS DOUBLE) THEN 'Inf' "
-        f"ELSE COALESCE(printf('%.1f', {value}{scale}), '---') END"
+        f"ELSE COALESCE(format('{{:,.1f}}', {value}{scale}), '---') END"
     )
 
 
 def _report_cte(key: str, group_var: str) -> str:
     report = REPORT_SQL[key]
-    # A report's text is either a SELECT or a list of further CTEs and a SELECT.
     return f"{survey_cte(*report.frames)}, report AS ({report.text(group_var)})\n"
 
 
@@ -211,6 +215,7 @@ _GPS_REASONS = ["why_no_gps__1", "why_no_gps__2", "why_no_gps__3", "why_no_gps__
 
 
 @_block(
+    "missing_text",
     _report_cte("parcel_gps", "enumerator")
     + """SELECT enumerator, CAST(parcels AS STRING) AS parcels,
       CAST(not_measured AS STRING) AS not_measured, """
@@ -226,6 +231,7 @@ def missing_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_block(
+    "case_roster_join",
     survey_cte("cases", "parcels")
     + """SELECT cases.interview__id, COUNT(*) AS n_rows, COUNT(parcel_id) AS n_parcels
     FROM cases LEFT JOIN parcels ON cases.interview__id = parcels.interview__id
@@ -241,10 +247,8 @@ def case_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-BLOCKS["case_roster_join"] = BLOCKS.pop("case_roster")
-
-
 @_block(
+    "group_key_join",
     survey_cte("cases", "hhold", "products")
     + """, a AS (SELECT team, CAST(SUM(CASE WHEN practice = 1 THEN 1 ELSE 0 END) AS BIGINT) AS practice
        FROM cases LEFT JOIN hhold ON cases.interview__id = hhold.interview__id GROUP BY team),
@@ -272,6 +276,7 @@ def group_key_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_block(
+    "composite_key_join",
     survey_cte("cases", "hhold")
     + """SELECT cases.interview__id, cases.team,
       CASE WHEN grew_crops = 1 THEN 1 ELSE 0 END AS grew
@@ -288,6 +293,7 @@ def composite_key_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_block(
+    "multiway_case_join",
     survey_cte("cases", "parcels", "crop_sales", "livestock")
     + """, p AS (SELECT interview__id, COUNT(*) AS n FROM parcels GROUP BY 1),
     s AS (SELECT interview__id, COUNT(*) AS n FROM crop_sales WHERE sold = 1 GROUP BY 1),
@@ -313,10 +319,8 @@ def multiway_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiway_case_join(cases, *frames).fillna(0)
 
 
-BLOCKS["multiway_case_join"] = BLOCKS.pop("multiway_join")
-
-
 @_block(
+    "filter_in",
     survey_cte("crops")
     + f"""SELECT crop_id, COUNT(*) AS n FROM crops
     WHERE crop_id IN ({_codes(TEMPORARY_CROPS)}) GROUP BY crop_id"""
@@ -329,6 +333,7 @@ def filter_in(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_block(
+    "filter_not_missing",
     survey_cte("crop_sales")
     + f"""SELECT crop_id, COUNT(*) AS n,
       CAST(SUM(CASE WHEN amt_total = {DK} THEN 1 ELSE 0 END) AS BIGINT) AS n_dk
@@ -348,6 +353,7 @@ def filter_not_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_block(
+    "row_sum",
     survey_cte("hhold")
     + """SELECT interview__id, COALESCE(animal__10, 0) + COALESCE(animal__12, 0)
       + COALESCE(animal__13, 0) + COALESCE(animal__14, 0) + COALESCE(animal__51, 0)
@@ -373,6 +379,7 @@ def row_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_block(
+    "two_level_agg",
     survey_cte("cases", "members")
     + """, w AS (SELECT interview__id, MAX(CASE WHEN worked = 1 THEN 1 ELSE 0 END) AS w
        FROM members GROUP BY interview__id)
@@ -397,6 +404,7 @@ def two_level_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_block(
+    "distinct_keys",
     survey_cte("cases", "plots")
     + """SELECT team, COUNT(DISTINCT cases.interview__id) AS n_interviews,
       COUNT(DISTINCT CASE WHEN parcel_id IS NOT NULL THEN (cases.interview__id, parcel_id) END)
@@ -432,6 +440,7 @@ def distinct_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_block(
+    "any_flags",
     survey_cte("cases", "members")
     + """SELECT cases.interview__id, MAX(CASE WHEN worked = 1 THEN 1 ELSE 0 END) AS skipping,
       CASE WHEN MAX(CASE WHEN worked = 1 THEN 1 ELSE 0 END) = 1 THEN 'yes'
@@ -456,6 +465,7 @@ def any_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_block(
+    "option_pivot",
     survey_cte("cases", "plots")
     + "SELECT team, "
     + ", ".join(
@@ -482,7 +492,9 @@ def option_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Sources
 
 
-@_block("SELECT c_custkey, c_mktsegment, c_nationkey FROM customer")
+@_block(
+    "load_frame",
+    "SELECT c_custkey, c_mktsegment, c_nationkey FROM customer")
 def load_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A frame read with an explicit schema and only the needed columns."""
     return load_frame(
@@ -493,10 +505,8 @@ def load_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-BLOCKS["load_frame"] = BLOCKS.pop("load_customers")
-
-
 @_block(
+    "check_cases_repeated",
     survey_cte("parcels")
     + """, per_id AS (SELECT interview__id, COUNT(*) AS n FROM parcels GROUP BY interview__id)
     SELECT CAST(SUM(n) AS BIGINT) AS n_cases,
@@ -510,6 +520,7 @@ def check_roster_as_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_block(
+    "check_cases",
     survey_cte("cases")
     + """, per_id AS (SELECT interview__id, COUNT(*) AS n FROM cases GROUP BY interview__id)
     SELECT CAST(SUM(n) AS BIGINT) AS n_cases,
@@ -522,11 +533,9 @@ def check_case_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check_cases(survey_frame(spark, sf_dir, "cases"), "team")
 
 
-BLOCKS["check_cases"] = BLOCKS.pop("check_case_ids")
-BLOCKS["check_cases_repeated"] = BLOCKS.pop("check_roster_as_cases")
-
 
 @_block(
+    "normalize_missing",
     survey_cte("parcels")
     + """SELECT interview__id,
       COUNT(CASE WHEN gps_area <> -999999999 THEN 1 END) AS n_areas,
@@ -542,10 +551,8 @@ def normalize_gps_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-BLOCKS["normalize_missing"] = BLOCKS.pop("normalize_gps_missing")
-
-
 @_block(
+    "questionnaire_labels",
     """SELECT concat('item_', CAST(p_partkey AS STRING)) AS var, p_size AS value, p_brand AS label FROM part
     UNION ALL
     SELECT concat('item_', CAST(p_partkey AS STRING)), -98, concat(p_type, ' "other"') FROM part"""
@@ -554,7 +561,7 @@ def questionnaire_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Answer labels parsed from questions written as JSON lines."""
     part = spark.read.parquet(f"{sf_dir}/part.parquet")
 
-    def answer(value: F.Column, label: F.Column) -> F.Column:
+    def answer(value: Column, label: Column) -> Column:
         return F.struct(value.cast("int").alias("value"), label.alias("label"))
 
     question = F.struct(
@@ -572,6 +579,7 @@ def questionnaire_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_block(
+    "format_share",
     _report_cte("crops_per_plot", "enumerator").replace("report AS", "plots_report AS")
     + f"""SELECT enumerator, CAST(n_crops AS STRING) AS n_crops,
       {_cell_sql("mean_crops")} AS mean_crops,
@@ -591,6 +599,7 @@ def format_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_block(
+    "display_table",
     _report_cte("parcels_per_hhold", "team")
     + f"""SELECT COALESCE(team, '---') AS team, CAST(interviews AS STRING) AS interviews,
       CAST(parcels AS STRING) AS parcels, {_cell_sql("ag", " * 100")} AS ag,
@@ -602,6 +611,7 @@ def display_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_block(
+    "table_dictionary",
     _report_cte("parcels_per_hhold", "enumerator")
     + " UNION ALL ".join(
         f"SELECT enumerator, '{name}' AS statistic, '{label}' AS label, "
@@ -636,7 +646,9 @@ def scratch_folder(spark: SparkSession) -> str:
     return f"{shared or tempfile.mkdtemp(prefix='fieldtally-')}/{uuid.uuid4().hex}"
 
 
-@_block(survey_cte("cases", "crops") + REPORT_SQL["crop_types"].text("enumerator"))
+@_block(
+    "write_report",
+    survey_cte("cases", "crops") + REPORT_SQL["crop_types"].text("enumerator"))
 def write_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A report written as parquet and read back."""
     path = scratch_folder(spark)

@@ -99,6 +99,22 @@ def test_restrict_to_cases_broadcasts_only_below_the_threshold(spark, stored_fra
     assert "BroadcastHashJoin" in plan()
 
 
+def test_selected_cases_prune_the_roster_before_the_shuffle(spark, stored_frames, no_broadcast):
+    """Spark's runtime filter passes through the roll-up down to the scan."""
+    setting = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "0")
+    try:
+        cases = stored_frames["cases"].filter("team = 'A'")
+        plan = physical_plan(
+            ft.crop_types(stored_frames["crops"], cases, "crop_type", group_var="team").stats
+        )
+    finally:
+        spark.conf.set(setting, before)
+    partial = plan[plan.index("partial_count"):]
+    assert "might_contain" in partial and "Exchange hashpartitioning" not in partial
+
+
 def test_library_gives_no_broadcast_hints():
     import pathlib
 
