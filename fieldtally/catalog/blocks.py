@@ -190,9 +190,9 @@ def null_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def any_option_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parcels by whether any of two options is selected."""
-    chosen = any_option("use", USE_VALS)
-    answer = F.when(chosen, "yes").when(~chosen, "no").otherwise("unknown")
     parcels = survey_frame(spark, sf_dir, "parcels")
+    chosen = any_option(parcels, "use", USE_VALS)
+    answer = F.when(chosen, "yes").when(~chosen, "no").otherwise("unknown")
     return parcels.groupBy(answer.alias("agricultural")).agg(
         F.count(F.lit(1)).alias("n")
     )

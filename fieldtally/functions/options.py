@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldtally.functions.labels import value_labels
-from fieldtally.functions.semantics import any_of, is_tagged
+from fieldtally.functions.semantics import any_of, coded, is_tagged
 
 
 def option_column(question: str, code: float) -> str:
@@ -20,13 +20,14 @@ def option_column(question: str, code: float) -> str:
     return f"{question}__n{-code}" if code < 0 else f"{question}__{code}"
 
 
-def option_selected(question: str, code: float) -> Column:
-    return F.col(option_column(question, code)) == 1
+def option_selected(df: DataFrame, question: str, code: float) -> Column:
+    """Whether the option is selected (three-valued)."""
+    return coded(df, option_column(question, code)) == 1
 
 
-def any_option(question: str, codes: Iterable[float]) -> Column:
+def any_option(df: DataFrame, question: str, codes: Iterable[float]) -> Column:
     """Whether at least one of the options is selected (three-valued)."""
-    return any_of([option_selected(question, code) for code in codes])
+    return any_of([option_selected(df, question, code) for code in codes])
 
 
 def option_columns(df: DataFrame, question: str) -> list[str]:
@@ -38,7 +39,8 @@ def option_columns(df: DataFrame, question: str) -> list[str]:
     return [
         f.name
         for f in df.schema.fields
-        if f.name.lower().startswith(prefix) and isinstance(f.dataType, T.NumericType)
+        if f.name.lower().startswith(prefix)
+        and isinstance(f.dataType, (T.NumericType, T.BooleanType))
     ]
 
 
@@ -48,7 +50,7 @@ def option_dummies(df: DataFrame, variable: str) -> DataFrame:
     NULL answers give NULL dummies; labels nobody chose get a column too.
     """
     dummies = [
-        (F.col(variable) == code).cast("int").alias(option_column(variable, code))
+        (coded(df, variable) == code).cast("int").alias(option_column(variable, code))
         for code, _ in value_labels(df, variable)
     ]
     return df.select("*", *dummies)

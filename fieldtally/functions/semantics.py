@@ -21,6 +21,23 @@ INFINITY = float("inf")
 TAG_PREFIX = "natag__"
 
 
+def _field_type(df: DataFrame, name: str) -> T.DataType | None:
+    """Type of a column, found as Spark resolves names: ignoring case."""
+    types = {f.name.lower(): f.dataType for f in df.schema.fields}
+    return types.get(name.lower())
+
+
+def coded(df: DataFrame, name: str) -> Column:
+    """A coded answer as a number; a true/false column counts as 1/0.
+
+    Spark does not compare booleans with numbers, so the cast is explicit.
+    """
+    column = F.col(name)
+    if isinstance(_field_type(df, name), T.BooleanType):
+        return column.cast("int")
+    return column
+
+
 def flag(condition: Column) -> Column:
     """1 where the condition holds, 0 where it is false *or* NULL."""
     return F.when(condition, F.lit(1)).otherwise(F.lit(0))
@@ -90,7 +107,7 @@ def is_tagged(df: DataFrame, name: str) -> Column:
     A frame without the companion column has no tagged values.
     """
     companion = TAG_PREFIX + name
-    if companion.lower() not in (c.lower() for c in df.columns):
+    if _field_type(df, companion) is None:
         return F.lit(False)
     return F.col(companion).isNotNull()
 

@@ -68,12 +68,13 @@ def attach(
     measures = [c for c in rolled.columns if c != CASE_KEY]
     if group_var in measures:
         raise ValueError(f"group column {group_var!r} collides with a measure name")
-    joined = cases.select(CASE_KEY, group_var).join(
+    # The interview itself may be the group.
+    kept = list(dict.fromkeys((CASE_KEY, group_var)))
+    joined = cases.select(*kept).join(
         rolled, CASE_KEY, "left" if keep_unmatched else "inner"
     )
     return joined.select(
-        CASE_KEY,
-        group_var,
+        *kept,
         *(F.coalesce(F.col(m), F.lit(unmatched.get(m, 0))).alias(m) for m in measures),
     )
 

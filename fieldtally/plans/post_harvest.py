@@ -24,6 +24,7 @@ from fieldtally.functions.options import (
 )
 from fieldtally.functions.semantics import (
     any_from_counts,
+    coded,
     flag,
     is_in,
     row_total,
@@ -55,8 +56,8 @@ def _share(name: str, numerator: str, denominator: str) -> Column:
     return safe_ratio(F.col(numerator), F.col(denominator)).alias(name)
 
 
-def _columns(names: Iterable[str]) -> list[Column]:
-    return [F.col(n) for n in names]
+def _stored(df: DataFrame, names: Iterable[str]) -> list[Column]:
+    return [coded(df, n) for n in names]
 
 
 # Harvest and crop sales
@@ -86,12 +87,12 @@ def temp_crop_harvest(
         group_var,
         {
             "planted": F.count(F.lit(1)),
-            "harvested": F.count_if(F.col(harvest_var) == harvest_val),
-            **{name: total(F.col(name)) for name in reasons},
+            "harvested": F.count_if(coded(parcel_plot_crop_df, harvest_var) == harvest_val),
+            **{name: total(coded(parcel_plot_crop_df, name)) for name in reasons},
         },
         keep_unmatched=False,
     )
-    all_reasons = reduce(add, _columns(reasons)) if reasons else F.lit(0)
+    all_reasons = reduce(add, map(F.col, reasons)) if reasons else F.lit(0)
     stats = sums.select(
         group_var,
         "planted",
@@ -128,7 +129,7 @@ def _crop_sales(
         group_var,
         {
             "harvested": F.count(F.lit(1)),
-            "sold": F.count_if(F.col(sold_var) == sold_val),
+            "sold": F.count_if(coded(crops_sales_df, sold_var) == sold_val),
             "sales_miss": F.count_if(amount_missing(crops_sales_df, amt_sold_vars)),
             "sales_dk": F.count_if(amount_unknown(amt_sold_vars, amt_sold_dk_val)),
         },
@@ -188,8 +189,8 @@ def perm_crop_harvest(
         group_var,
         {
             "planted": F.count(F.lit(1)),
-            "produced": F.count_if(F.col(produce_var) > 0),
-            "harvested": F.count_if(F.col(harvest_var) == harvest_val),
+            "produced": F.count_if(coded(parcel_plot_crop_df, produce_var) > 0),
+            "harvested": F.count_if(coded(parcel_plot_crop_df, harvest_var) == harvest_val),
         },
         keep_unmatched=False,
     )
@@ -244,7 +245,7 @@ def livestock_ownership(
     group_var: str,
 ) -> MonitoringTable:
     """Households, livestock owners, and types of livestock per owner."""
-    animals = row_total(_columns(option_columns(hhold_df, animal_var)))
+    animals = row_total(_stored(hhold_df, option_columns(hhold_df, animal_var)))
     sums = tally(
         cases,
         hhold_df,
@@ -275,16 +276,16 @@ def _option_mix(
     group_var: str,
 ) -> MonitoringTable:
     """Owners of any of the options and the mix of options among them."""
-    stored = _columns(option_column(question, code) for code in options.values())
+    names = [option_column(question, code) for code in options.values()]
     sums = tally(
         cases,
         hhold_df,
         group_var,
         {
-            owners: F.count_if(any_option(question, options.values())),
-            "n_types": total(row_total(stored)),
+            owners: F.count_if(any_option(hhold_df, question, options.values())),
+            "n_types": total(row_total(_stored(hhold_df, names))),
             **{
-                name: F.count_if(option_selected(question, code))
+                name: F.count_if(option_selected(hhold_df, question, code))
                 for name, code in options.items()
             },
         },
@@ -372,8 +373,8 @@ def anim_prod_sales(
         group_var,
         {
             "n_anim": F.count_if(is_in(F.col(anim_id_var), anim_vals)),
-            "produced": F.count_if(F.col(produced_var) == produced_val),
-            "sold": F.count_if(F.col(sold_var) == sold_val),
+            "produced": F.count_if(coded(livestock_df, produced_var) == produced_val),
+            "sold": F.count_if(coded(livestock_df, sold_var) == sold_val),
             "sales_miss": F.count_if(amount_missing(livestock_df, amt_sold_vars)),
             "sales_dk": F.count_if(amount_unknown(amt_sold_vars, amt_sold_dk_val)),
         },
@@ -406,7 +407,7 @@ def _sales_rows(
     amt_sold_dk_val: float,
 ) -> dict[str, Column]:
     return {
-        "sold": F.col(sold_var) == sold_val,
+        "sold": coded(product_df, sold_var) == sold_val,
         "sales_miss": amount_missing(product_df, amt_sold_vars),
         "sales_dk": amount_unknown(amt_sold_vars, amt_sold_dk_val),
     }
@@ -432,13 +433,13 @@ def other_prod_sales(
     Sales flags say whether *any* product of the group was sold (or had a
     missing or unknown value), so ``sold`` is 0 or 1 before it is divided.
     """
-    products = row_total(_columns(option_columns(hhold_df, products_var)))
+    products = row_total(_stored(hhold_df, option_columns(hhold_df, products_var)))
     rows = stack(
         (
             hhold_df,
             {
                 "hholds": F.lit(1),
-                "practice": F.col(practice_var) == practice_val,
+                "practice": coded(hhold_df, practice_var) == practice_val,
                 "n_products": products,
             },
         ),
@@ -496,13 +497,14 @@ def process_crop_prod(
     group_var: str,
 ) -> MonitoringTable:
     """Crop producers, processing, processed items and their sales."""
-    products = row_total(_columns(option_columns(hhold_df, products_var)))
+    products = row_total(_stored(hhold_df, option_columns(hhold_df, products_var)))
     rows = stack(
         (
             hhold_df,
             {
-                "produced": (F.col(temp_crops_var) == YES) | (F.col(perm_crops_var) == YES),
-                "processed": F.col(processed_var) == processed_val,
+                "produced": (coded(hhold_df, temp_crops_var) == YES)
+                | (coded(hhold_df, perm_crops_var) == YES),
+                "processed": coded(hhold_df, processed_var) == processed_val,
                 "n_products": products,
             },
         ),
@@ -573,14 +575,14 @@ def crop_labor(
     """
 
     def used(question: str) -> Column:
-        stored = _columns(option_columns(hhold_df, question))
+        stored = _stored(hhold_df, option_columns(hhold_df, question))
         return row_total(stored, skip_missing=False) >= 1
 
     rows = stack(
         (
             hhold_df,
             {
-                "grew_crops": F.col(grew_crops_var) == grew_crops_val,
+                "grew_crops": coded(hhold_df, grew_crops_var) == grew_crops_val,
                 "paid_labor": used(paid_var),
                 "free_labor": used(free_var),
             },
@@ -589,7 +591,7 @@ def crop_labor(
             members_df,
             {
                 "members": F.lit(1),
-                "worked": F.col(member_worked_var) == member_worked_val,
+                "worked": coded(members_df, member_worked_var) == member_worked_val,
             },
         ),
     )
@@ -649,12 +651,12 @@ def livestock_labor_tbl(
     1 for the "only" flags.
     """
     labor_id = F.col(anim_labor_id_var)
-    any_workers = F.col(anim_labor_var) > anim_labor_none_val
+    any_workers = coded(anim_labor_df, anim_labor_var) > anim_labor_none_val
     hhold_row = is_in(labor_id, hhold_labor_vals) & any_workers
     free_row = (labor_id == free_labor_val) & any_workers
     paid_row = (labor_id == paid_labor_val) & any_workers
     rows = stack(
-        (hhold_df, {"have_anim": F.col(have_anim_var) == have_anim_val}),
+        (hhold_df, {"have_anim": coded(hhold_df, have_anim_var) == have_anim_val}),
         (
             anim_labor_df,
             {
@@ -709,15 +711,15 @@ def sector_labor(
     sector_label: str,
 ) -> MonitoringTable:
     """Households in a sector and the kinds of labor they use, multi-select form."""
-    hhold = any_option(labor_var, hhold_labor_vals)
-    free = option_selected(labor_var, free_labor_val)
-    paid = option_selected(labor_var, paid_labor_val)
+    hhold = any_option(hhold_df, labor_var, hhold_labor_vals)
+    free = option_selected(hhold_df, labor_var, free_labor_val)
+    paid = option_selected(hhold_df, labor_var, paid_labor_val)
     sums = tally(
         cases,
         hhold_df,
         group_var,
         {
-            "produce": F.count_if(F.col(produce_var) == produce_val),
+            "produce": F.count_if(coded(hhold_df, produce_var) == produce_val),
             "hhold_only": F.count_if(hhold & ~free & ~paid),
             "external_only": F.count_if(~hhold & (free | paid)),
             "hhold_labor": F.count_if(hhold),
@@ -777,24 +779,28 @@ def income_sources(
             hhold_df,
             {
                 "hholds": F.lit(1),
-                "any_ag": (F.col(crop_var) == YES) | (F.col(livestock_var) == YES),
+                "any_ag": (coded(hhold_df, crop_var) == YES)
+                | (coded(hhold_df, livestock_var) == YES),
             },
         ),
-        (temp_crop_df, {"temp_crop": F.col(temp_crop_var) == temp_crop_val}),
-        (perm_crop_df, {"perm_crop": F.col(perm_crop_var) == perm_crop_val}),
-        (processed_df, {"processed": F.col(processed_var) == processed_val}),
+        (temp_crop_df, {"temp_crop": coded(temp_crop_df, temp_crop_var) == temp_crop_val}),
+        (perm_crop_df, {"perm_crop": coded(perm_crop_df, perm_crop_var) == perm_crop_val}),
+        (processed_df, {"processed": coded(processed_df, processed_var) == processed_val}),
         (
             anim_df,
             {
-                "anim_sold": (F.col(sold_live_anim_var) > 0)
-                | (F.col(sold_live_poultry_var) > 0),
-                "anim_killed": (F.col(slaughter_anim_var) == slaughter_anim_val)
-                | (F.col(slaughter_poultry_var) == slaughter_poultry_val),
-                "milk_sold": F.col(milk_var) == milk_val,
-                "eggs_sold": F.col(eggs_var) == eggs_val,
+                "anim_sold": (coded(anim_df, sold_live_anim_var) > 0)
+                | (coded(anim_df, sold_live_poultry_var) > 0),
+                "anim_killed": (coded(anim_df, slaughter_anim_var) == slaughter_anim_val)
+                | (coded(anim_df, slaughter_poultry_var) == slaughter_poultry_val),
+                "milk_sold": coded(anim_df, milk_var) == milk_val,
+                "eggs_sold": coded(anim_df, eggs_var) == eggs_val,
             },
         ),
-        (oth_anim_prod_df, {"anim_prod_sold": F.col(oth_anim_var) == oth_anim_val}),
+        (
+            oth_anim_prod_df,
+            {"anim_prod_sold": coded(oth_anim_prod_df, oth_anim_var) == oth_anim_val},
+        ),
     )
     crops = ("temp_crop", "perm_crop", "processed")
     animals = ("anim_sold", "anim_killed", "milk_sold", "eggs_sold", "anim_prod_sold")

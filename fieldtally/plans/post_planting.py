@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from fieldtally.functions.labels import heading, value_labels
 from fieldtally.functions.options import any_option, option_column
-from fieldtally.functions.semantics import is_tagged, safe_ratio
+from fieldtally.functions.semantics import coded, is_tagged, safe_ratio
 from fieldtally.operators.rollup import CASE_KEY, attach, roll_up, sum_by_group, tally
 from fieldtally.plans.table import MonitoringTable, monitoring_table
 
@@ -43,7 +43,7 @@ def parcels_per_hhold(
     }
     shares: list[Column] = []
     if use_var is not None:
-        measures["ag_parcels"] = F.count_if(any_option(use_var, use_vals))
+        measures["ag_parcels"] = F.count_if(any_option(parcel_df, use_var, use_vals))
         sums["ag_parcels"] = F.sum("ag_parcels")
         # Whatever is not agricultural, the row of an unmatched case included.
         parcels, ag = F.col("parcels"), F.col("ag_parcels")
@@ -70,7 +70,7 @@ def _area_not_measured(df: DataFrame, gps_var: str, not_measured_val: float) ->
 def _code_counts(df: DataFrame, variable: str) -> dict[str, Column]:
     """How often each labelled code was chosen, codes nobody chose included."""
     return {
-        option_column(variable, code): F.count_if(F.col(variable) == code)
+        option_column(variable, code): F.count_if(coded(df, variable) == code)
         for code, _ in value_labels(df, variable)
     }
 
@@ -246,7 +246,7 @@ def crop_types(
     group_var: str,
 ) -> MonitoringTable:
     """Share of temporary and permanent crops."""
-    crop_type = F.col(crop_type_var)
+    crop_type = coded(crop_df, crop_type_var)
     sums = tally(
         cases,
         crop_df,

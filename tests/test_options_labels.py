@@ -21,7 +21,7 @@ def test_any_option(spark):
     df = spark.createDataFrame(
         [(1, 0), (0, 1), (None, 0), (2, 0)], "q__1 int, q__n98 int"
     )
-    got = [r[0] for r in df.select(O.any_option("q", [1, -98])).collect()]
+    got = [r[0] for r in df.select(O.any_option(df, "q", [1, -98])).collect()]
     assert got == [True, True, None, False]
 
 

@@ -394,6 +394,42 @@ def test_income_sources(spark, cases):
     assert got["C"]["n_hholds"] == 1 and got["C"]["temp_crop"] is None
 
 
+def test_true_false_answers_count_like_codes(spark, cases, animals, crops):
+    from pyspark.sql import functions as F
+
+    yes_no = animals.select(
+        "interview__id", *((F.col(c) == 1).alias(c) for c in animals.columns[1:])
+    )
+    coded = animals.select(
+        "interview__id", *((F.col(c) == 1).cast("int").alias(c) for c in animals.columns[1:])
+    )
+    for report in (ft.cow_displacement, ft.hen_displacement):
+        assert by(report(yes_no, cases, "animal", group_var="team").stats, "team") == by(
+            report(coded, cases, "animal", group_var="team").stats, "team"
+        )
+    assert by(ft.livestock_ownership(yes_no, "animal", cases, "team").stats, "team") == by(
+        ft.livestock_ownership(coded, "animal", cases, "team").stats, "team"
+    )
+    harvested = crops.withColumn("harvested", F.col("harvested") == 1)
+
+    def run(frame):
+        return by(
+            ft.perm_crop_harvest(
+                frame, cases, "crop_id", [1, 50], "produce", "harvested", group_var="team"
+            ).stats,
+            "team",
+        )
+
+    assert run(harvested) == run(crops)
+
+
+def test_interview_as_group(cases, animals):
+    got = by(
+        ft.livestock_ownership(animals, "animal", cases, "interview__id").stats, "interview__id"
+    )
+    assert got["i1"]["avg_animals"] == 5.0 and got["i5"]["n_hholds"] == 1
+
+
 def test_three_amount_variables_are_an_error(cases, sales):
     with pytest.raises(ValueError, match="one or two"):
         ft.temp_crop_sales(

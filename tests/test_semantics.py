@@ -72,6 +72,12 @@ def test_is_in_is_never_null(spark):
     assert got == [True, False, False]
 
 
+def test_coded_turns_booleans_into_numbers(spark):
+    df = spark.createDataFrame([(True, 2), (None, None), (False, 1)], "Yes boolean, n int")
+    got = df.select(S.coded(df, "yes") == 1, S.coded(df, "n") == 1).collect()
+    assert [tuple(r) for r in got] == [(True, False), (None, None), (False, True)]
+
+
 def test_flag_counts_unknown_as_no(spark):
     df = spark.createDataFrame([(1,), (2,), (None,)], "x int")
     assert [r[0] for r in df.select(S.flag(F.col("x") == 1)).collect()] == [1, 0, 0]
