@@ -26,13 +26,21 @@ from fieldtally.functions.semantics import (
     flag,
     null_for_nan,
     row_total,
+    safe_ratio,
+    total,
 )
 from fieldtally.operators.joins import (
     case_roster_join,
     multiway_case_join,
     null_safe_left_join,
 )
-from fieldtally.operators.rollup import CASE_KEY, attach, roll_up, sum_by_group
+from fieldtally.operators.rollup import (
+    CASE_KEY,
+    attach,
+    roll_up,
+    sum_by_group,
+    tally,
+)
 from fieldtally.plans.table import format_cell
 from fieldtally.sources.frames import check_cases, load_frame, normalize_missing
 from fieldtally.sources.questionnaire import labels_from_lines
@@ -80,7 +88,7 @@ def _label_values_sql(frame: str, variable: str) -> str:
     survey_cte("plots")
     + f"""SELECT 'plot_use' AS var, v.value AS value, COUNT(plot_use) AS n
     FROM {_label_values_sql("plots", "plot_use")} v LEFT JOIN plots ON plot_use = v.value
-    GROUP BY v.value"""
+    GROUP BY v.value""",
 )
 def label_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often each labelled code was chosen, unused codes included."""
@@ -97,7 +105,7 @@ def label_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     survey_cte("plots")
     + f"""SELECT COALESCE(v.label, 'no answer') AS answer, COUNT(*) AS n
     FROM plots LEFT JOIN {_label_values_sql("plots", "plot_use")} v ON plot_use = v.value
-    GROUP BY 1"""
+    GROUP BY 1""",
 )
 def label_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plots by decoded use, counted by code before the codes are decoded."""
@@ -115,7 +123,7 @@ def label_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     + f"""SELECT concat('plot_use__', CAST(v.value AS STRING)) AS statistic,
       concat(v.label, ' (', CAST(v.value AS STRING), ')') AS label, COUNT(plot_use) AS n
     FROM {_label_values_sql("plots", "plot_use")} v LEFT JOIN plots ON plot_use = v.value
-    GROUP BY v.value, v.label"""
+    GROUP BY v.value, v.label""",
 )
 def column_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Headings of the option columns, with how often each option was chosen."""
@@ -140,7 +148,7 @@ def column_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
         for v in (1, 2, 3, 4)
     )
     + """, COUNT(*) - COUNT(plot_use) AS no_answer
-    FROM plots GROUP BY interview__id"""
+    FROM plots GROUP BY interview__id""",
 )
 def option_dummy_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dummies of a single-select answer, summed per interview."""
@@ -161,7 +169,7 @@ def option_dummy_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     + """SELECT interview__id, CASE WHEN SUM(p) > 0 THEN CAST(SUM(s) AS DOUBLE) / SUM(p) END AS sold
     FROM (SELECT interview__id, CASE WHEN produced = 1 THEN 1 ELSE 0 END AS p,
             CASE WHEN sold = 1 THEN 1 ELSE 0 END AS s FROM livestock) r
-    GROUP BY interview__id"""
+    GROUP BY interview__id""",
 )
 def null_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shares that arrive as NaN turned into NULL."""
@@ -186,7 +194,7 @@ def null_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     survey_cte("parcels")
     + """SELECT CASE WHEN use__1 = 1 OR use__n98 = 1 THEN 'yes'
            WHEN NOT (use__1 = 1 OR use__n98 = 1) THEN 'no' ELSE 'unknown' END AS agricultural,
-      COUNT(*) AS n FROM parcels GROUP BY 1"""
+      COUNT(*) AS n FROM parcels GROUP BY 1""",
 )
 def any_option_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parcels by whether any of two options is selected."""
@@ -220,7 +228,7 @@ _GPS_REASONS = ["why_no_gps__1", "why_no_gps__2", "why_no_gps__3", "why_no_gps__
     + """SELECT enumerator, CAST(parcels AS STRING) AS parcels,
       CAST(not_measured AS STRING) AS not_measured, """
     + ", ".join(f"{_cell_sql(c, ' * 100')} AS {c}" for c in _GPS_REASONS)
-    + " FROM report"
+    + " FROM report",
 )
 def missing_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Display cells of a report with empty denominators."""
@@ -235,7 +243,7 @@ def missing_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     survey_cte("cases", "parcels")
     + """SELECT cases.interview__id, COUNT(*) AS n_rows, COUNT(parcel_id) AS n_parcels
     FROM cases LEFT JOIN parcels ON cases.interview__id = parcels.interview__id
-    GROUP BY cases.interview__id"""
+    GROUP BY cases.interview__id""",
 )
 def case_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row-level join: every case keeps at least one row."""
@@ -255,7 +263,7 @@ def case_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
     b AS (SELECT team, CAST(SUM(CASE WHEN sold = 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_sold
        FROM cases JOIN products ON cases.interview__id = products.interview__id GROUP BY team)
     SELECT a.team, practice, COALESCE(n_sold, -1) AS n_sold
-    FROM a LEFT JOIN b ON a.team IS NOT DISTINCT FROM b.team"""
+    FROM a LEFT JOIN b ON a.team IS NOT DISTINCT FROM b.team""",
 )
 def group_key_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two statistics frames joined on the group, NULL group included."""
@@ -280,7 +288,7 @@ def group_key_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     survey_cte("cases", "hhold")
     + """SELECT cases.interview__id, cases.team,
       CASE WHEN grew_crops = 1 THEN 1 ELSE 0 END AS grew
-    FROM cases LEFT JOIN hhold ON cases.interview__id = hhold.interview__id"""
+    FROM cases LEFT JOIN hhold ON cases.interview__id = hhold.interview__id""",
 )
 def composite_key_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Join on interview and team, where a NULL team matches a NULL team."""
@@ -302,7 +310,7 @@ def composite_key_join(spark: SparkSession, sf_dir: str) -> DataFrame:
       COALESCE(l.n, 0) AS n_milk
     FROM cases LEFT JOIN p ON cases.interview__id = p.interview__id
       LEFT JOIN s ON cases.interview__id = s.interview__id
-      LEFT JOIN l ON cases.interview__id = l.interview__id"""
+      LEFT JOIN l ON cases.interview__id = l.interview__id""",
 )
 def multiway_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Several rolled-up rosters joined to the cases on one key."""
@@ -323,7 +331,7 @@ def multiway_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     "filter_in",
     survey_cte("crops")
     + f"""SELECT crop_id, COUNT(*) AS n FROM crops
-    WHERE crop_id IN ({_codes(TEMPORARY_CROPS)}) GROUP BY crop_id"""
+    WHERE crop_id IN ({_codes(TEMPORARY_CROPS)}) GROUP BY crop_id""",
 )
 def filter_in(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows whose code is in a list."""
@@ -337,7 +345,7 @@ def filter_in(spark: SparkSession, sf_dir: str) -> DataFrame:
     survey_cte("crop_sales")
     + f"""SELECT crop_id, COUNT(*) AS n,
       CAST(SUM(CASE WHEN amt_total = {DK} THEN 1 ELSE 0 END) AS BIGINT) AS n_dk
-    FROM crop_sales WHERE crop_id IS NOT NULL GROUP BY crop_id"""
+    FROM crop_sales WHERE crop_id IS NOT NULL GROUP BY crop_id""",
 )
 def filter_not_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows whose key is present."""
@@ -360,7 +368,7 @@ def filter_not_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
       + COALESCE(animal__52, 0) + COALESCE(animal__53, 0) AS n_animals,
       CASE WHEN paid__1 + paid__2 IS NULL THEN 'unknown'
            ELSE CAST(paid__1 + paid__2 AS STRING) END AS paid
-    FROM hhold"""
+    FROM hhold""",
 )
 def row_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Horizontal sums over option columns, skipping missing answers or not."""
@@ -384,7 +392,7 @@ def row_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     + """, w AS (SELECT interview__id, MAX(CASE WHEN worked = 1 THEN 1 ELSE 0 END) AS w
        FROM members GROUP BY interview__id)
     SELECT team, COUNT(*) AS n_cases, CAST(SUM(COALESCE(w, 0)) AS BIGINT) AS n_worked
-    FROM cases LEFT JOIN w ON cases.interview__id = w.interview__id GROUP BY team"""
+    FROM cases LEFT JOIN w ON cases.interview__id = w.interview__id GROUP BY team""",
 )
 def two_level_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Members to interviews, interviews to teams."""
@@ -410,7 +418,7 @@ def two_level_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
       COUNT(DISTINCT CASE WHEN parcel_id IS NOT NULL THEN (cases.interview__id, parcel_id) END)
         AS n_parcels,
       COUNT(DISTINCT (cases.interview__id, parcel_id, plot_id)) AS n_plots
-    FROM cases LEFT JOIN plots ON cases.interview__id = plots.interview__id GROUP BY team"""
+    FROM cases LEFT JOIN plots ON cases.interview__id = plots.interview__id GROUP BY team""",
 )
 def distinct_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct interviews, tuples without missing parts, tuples with them.
@@ -446,7 +454,7 @@ def distinct_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
       CASE WHEN MAX(CASE WHEN worked = 1 THEN 1 ELSE 0 END) = 1 THEN 'yes'
            WHEN COUNT(*) > COUNT(worked) THEN 'unknown' ELSE 'no' END AS strict
     FROM cases LEFT JOIN members ON cases.interview__id = members.interview__id
-    GROUP BY cases.interview__id"""
+    GROUP BY cases.interview__id""",
 )
 def any_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """'Any member worked' with missing answers skipped, and with them respected."""
@@ -472,7 +480,7 @@ def any_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"CAST(SUM(CASE WHEN plot_use = {v} THEN 1 ELSE 0 END) AS BIGINT) AS plot_use__{v}"
         for v in (1, 2, 3, 4)
     )
-    + """ FROM cases LEFT JOIN plots ON cases.interview__id = plots.interview__id GROUP BY team"""
+    + """ FROM cases LEFT JOIN plots ON cases.interview__id = plots.interview__id GROUP BY team""",
 )
 def option_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts per code as columns; the codes are given, so no extra job finds them."""
@@ -489,6 +497,125 @@ def option_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sum_by_group(joined, "team", {n: F.sum(n) for n in names})
 
 
+@_block(
+    "derived_flags",
+    survey_cte("hhold")
+    + """SELECT interview__id, CASE WHEN grew_crops = 1 THEN 1 ELSE 0 END AS grew,
+      CASE WHEN labor__4 = 1 OR labor__5 = 1 THEN 'yes'
+           WHEN NOT (labor__4 = 1 OR labor__5 = 1) THEN 'no' ELSE 'unknown' END AS outside,
+      CASE WHEN labor__1 = 1 AND NOT labor__5 = 1 THEN 'yes'
+           WHEN NOT (labor__1 = 1 AND NOT labor__5 = 1) THEN 'no' ELSE 'unknown' END AS unpaid
+    FROM hhold""",
+)
+def derived_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Derived columns: a flag with a missing branch, and three-valued conditions."""
+
+    def answer(condition: Column) -> Column:
+        return F.when(condition, "yes").when(~condition, "no").otherwise("unknown")
+
+    hhold = survey_frame(spark, sf_dir, "hhold")
+    own, paid = F.col("labor__1") == 1, F.col("labor__5") == 1
+    return hhold.select(
+        CASE_KEY,
+        flag(F.col("grew_crops") == 1).alias("grew"),
+        answer(any_option(hhold, "labor", [4, 5])).alias("outside"),
+        answer(own & ~paid).alias("unpaid"),
+    )
+
+
+@_block(
+    "group_count",
+    survey_cte("cases") + "SELECT team, COUNT(*) AS n FROM cases GROUP BY team",
+)
+def group_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per group; a missing group is a group."""
+    cases = survey_frame(spark, sf_dir, "cases")
+    return sum_by_group(cases, "team", {"n": F.count(F.lit(1))})
+
+
+@_block(
+    "null_skipping_sum",
+    survey_cte("livestock")
+    + """SELECT interview__id, CAST(COALESCE(SUM(n_poultry_live), 0) AS BIGINT) AS n_poultry,
+      CAST(SUM(CASE WHEN eggs = 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_eggs
+    FROM livestock GROUP BY interview__id""",
+)
+def null_skipping_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums of a number and of a condition; all missing adds up to 0."""
+    return roll_up(
+        survey_frame(spark, sf_dir, "livestock"),
+        {
+            "n_poultry": total(F.col("n_poultry_live")),
+            "n_eggs": F.count_if(F.col("eggs") == 1),
+        },
+    )
+
+
+@_block(
+    "first_value",
+    survey_cte("cases", "parcels")
+    + """SELECT cases.interview__id, MIN(team) AS team, COUNT(parcel_id) AS n_parcels
+    FROM cases LEFT JOIN parcels ON cases.interview__id = parcels.interview__id
+    GROUP BY cases.interview__id""",
+)
+def first_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of an interview taken from its rows; every row holds the same."""
+    cases = survey_frame(spark, sf_dir, "cases").select(CASE_KEY, "team")
+    parcels = survey_frame(spark, sf_dir, "parcels").select(CASE_KEY, "parcel_id")
+    return roll_up(
+        case_roster_join(cases, parcels),
+        {"team": F.first("team"), "n_parcels": F.count("parcel_id")},
+    )
+
+
+@_block(
+    "ratio_of_sums",
+    survey_cte("livestock")
+    + f"""SELECT interview__id, {share("d", "s")} AS dk_per_sale,
+      {share("s", "p")} AS sales_per_product FROM (
+      SELECT interview__id, SUM(CASE WHEN produced = 1 THEN 1 ELSE 0 END) AS p,
+        SUM(CASE WHEN sold = 1 THEN 1 ELSE 0 END) AS s,
+        SUM(CASE WHEN amt_total = {DK} THEN 1 ELSE 0 END) AS d
+      FROM livestock GROUP BY interview__id) r""",
+)
+def ratio_of_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chained ratios, each from the sums themselves."""
+    sums = roll_up(
+        survey_frame(spark, sf_dir, "livestock"),
+        {
+            "p": F.count_if(F.col("produced") == 1),
+            "s": F.count_if(F.col("sold") == 1),
+            "d": F.count_if(F.col("amt_total") == DK),
+        },
+    )
+    return sums.select(
+        CASE_KEY,
+        safe_ratio(F.col("d"), F.col("s")).alias("dk_per_sale"),
+        safe_ratio(F.col("s"), F.col("p")).alias("sales_per_product"),
+    )
+
+
+@_block(
+    "columns_by_prefix",
+    survey_cte("cases", "hhold")
+    + "SELECT team, "
+    + ", ".join(
+        f"CAST(COALESCE(SUM(animal__{c}), 0) AS BIGINT) AS animal__{c}"
+        for c in (10, 12, 13, 14, 51, 52, 53)
+    )
+    + " FROM cases LEFT JOIN hhold ON cases.interview__id = hhold.interview__id GROUP BY team",
+)
+def columns_by_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One function over all columns of a question, found by prefix."""
+    hhold = survey_frame(spark, sf_dir, "hhold")
+    return tally(
+        survey_frame(spark, sf_dir, "cases"),
+        hhold,
+        "team",
+        {name: total(F.col(name)) for name in option_columns(hhold, "animal")},
+    )
+
+
 # Sources
 
 
@@ -512,7 +639,7 @@ def load_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT CAST(SUM(n) AS BIGINT) AS n_cases,
       CAST(SUM(CASE WHEN interview__id IS NULL THEN n ELSE 0 END) AS BIGINT) AS n_null_ids,
       COUNT(CASE WHEN interview__id IS NOT NULL AND n > 1 THEN 1 END) AS n_repeated_ids
-    FROM per_id"""
+    FROM per_id""",
 )
 def check_roster_as_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cases check on a frame that fails it: a roster with repeated ids."""
@@ -526,7 +653,7 @@ def check_roster_as_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT CAST(SUM(n) AS BIGINT) AS n_cases,
       CAST(SUM(CASE WHEN interview__id IS NULL THEN n ELSE 0 END) AS BIGINT) AS n_null_ids,
       COUNT(CASE WHEN interview__id IS NOT NULL AND n > 1 THEN 1 END) AS n_repeated_ids
-    FROM per_id"""
+    FROM per_id""",
 )
 def check_case_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of cases, missing ids and repeated ids."""
@@ -540,7 +667,7 @@ def check_case_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     + """SELECT interview__id,
       COUNT(CASE WHEN gps_area <> -999999999 THEN 1 END) AS n_areas,
       COUNT(CASE WHEN natag__gps_area IS NOT NULL OR gps_area = -999999999 THEN 1 END) AS n_tagged
-    FROM parcels GROUP BY interview__id"""
+    FROM parcels GROUP BY interview__id""",
 )
 def normalize_gps_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exported missing codes turned into NULL plus tag, counted per interview."""
@@ -555,7 +682,7 @@ def normalize_gps_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     "questionnaire_labels",
     """SELECT concat('item_', CAST(p_partkey AS STRING)) AS var, p_size AS value, p_brand AS label FROM part
     UNION ALL
-    SELECT concat('item_', CAST(p_partkey AS STRING)), -98, concat(p_type, ' "other"') FROM part"""
+    SELECT concat('item_', CAST(p_partkey AS STRING)), -98, concat(p_type, ' "other"') FROM part""",
 )
 def questionnaire_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Answer labels parsed from questions written as JSON lines."""
@@ -584,7 +711,7 @@ def questionnaire_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     + f"""SELECT enumerator, CAST(n_crops AS STRING) AS n_crops,
       {_cell_sql("mean_crops")} AS mean_crops,
       {_cell_sql("n_plots / CAST(n_crops AS DOUBLE)", " * 100")} AS plots_per_crop
-    FROM plots_report"""
+    FROM plots_report""",
 )
 def format_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, averages and percentages as text."""
@@ -603,7 +730,7 @@ def format_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     _report_cte("parcels_per_hhold", "team")
     + f"""SELECT COALESCE(team, '---') AS team, CAST(interviews AS STRING) AS interviews,
       CAST(parcels AS STRING) AS parcels, {_cell_sql("ag", " * 100")} AS ag,
-      {_cell_sql("non_ag", " * 100")} AS non_ag FROM report"""
+      {_cell_sql("non_ag", " * 100")} AS non_ag FROM report""",
 )
 def display_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A report as formatted text, groups in order."""
@@ -629,7 +756,7 @@ def display_table(spark: SparkSession, sf_dir: str) -> DataFrame:
                 _cell_sql("non_ag", " * 100"),
             ),
         )
-    )
+    ),
 )
 def table_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells of a report with their labels, spanners and kinds."""
