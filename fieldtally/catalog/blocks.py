@@ -38,6 +38,7 @@ from fieldtally.operators.rollup import (
     CASE_KEY,
     attach,
     roll_up,
+    stack,
     sum_by_group,
     tally,
 )
@@ -241,17 +242,15 @@ def missing_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_block(
     "case_roster_join",
     survey_cte("cases", "parcels")
-    + """SELECT cases.interview__id, COUNT(*) AS n_rows, COUNT(parcel_id) AS n_parcels
-    FROM cases LEFT JOIN parcels ON cases.interview__id = parcels.interview__id
-    GROUP BY cases.interview__id""",
+    + """SELECT cases.interview__id, COALESCE(parcel_id, -1) AS parcel_id
+    FROM cases LEFT JOIN parcels ON cases.interview__id = parcels.interview__id""",
 )
 def case_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row-level join: every case keeps at least one row."""
     cases = survey_frame(spark, sf_dir, "cases").select(CASE_KEY)
     parcels = survey_frame(spark, sf_dir, "parcels").select(CASE_KEY, "parcel_id")
-    return roll_up(
-        case_roster_join(cases, parcels),
-        {"n_rows": F.count(F.lit(1)), "n_parcels": F.count("parcel_id")},
+    return case_roster_join(cases, parcels).select(
+        CASE_KEY, F.coalesce("parcel_id", F.lit(-1)).alias("parcel_id")
     )
 
 
@@ -294,7 +293,7 @@ def composite_key_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Join on interview and team, where a NULL team matches a NULL team."""
     cases = survey_frame(spark, sf_dir, "cases").select(CASE_KEY, "team")
     hhold = survey_frame(spark, sf_dir, "hhold").select(CASE_KEY, "grew_crops")
-    flags = case_roster_join(cases, hhold).select(
+    flags = multiway_case_join(cases, hhold).select(
         CASE_KEY, "team", flag(F.col("grew_crops") == 1).alias("grew")
     )
     return null_safe_left_join(cases, flags, [CASE_KEY, "team"])
@@ -559,13 +558,23 @@ def null_skipping_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     GROUP BY cases.interview__id""",
 )
 def first_value(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The group of an interview taken from its rows; every row holds the same."""
-    cases = survey_frame(spark, sf_dir, "cases").select(CASE_KEY, "team")
-    parcels = survey_frame(spark, sf_dir, "parcels").select(CASE_KEY, "parcel_id")
-    return roll_up(
-        case_roster_join(cases, parcels),
-        {"team": F.first("team"), "n_parcels": F.count("parcel_id")},
+    """The group of an interview taken from its rows, of which one is the case.
+
+    Cases and roster are stacked and rolled up, which needs no join.
+    """
+    rows = stack(
+        (survey_frame(spark, sf_dir, "cases"), {"case": F.lit(1), "team": F.col("team")}),
+        (survey_frame(spark, sf_dir, "parcels"), {"parcel_id": F.col("parcel_id")}),
+    )
+    rolled = roll_up(
+        rows,
+        {
+            "cases": F.count("case"),
+            "team": F.first("team", ignorenulls=True),
+            "n_parcels": F.count("parcel_id"),
+        },
     )
+    return rolled.filter("cases > 0").drop("cases")
 
 
 @_block(

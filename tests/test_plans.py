@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 import fieldtally as ft
-from fieldtally.catalog.reports import REPORTS
-from fieldtally.operators.joins import restrict_to_cases
-from test_random_frames import HHOLD, ROSTERS
 from fieldtally.catalog.frames import LABELS
+from fieldtally.catalog.reports import REPORTS
 from fieldtally.functions.labels import with_value_labels
+from fieldtally.operators.joins import case_roster_join, restrict_to_cases
+from test_random_frames import HHOLD, ROSTERS
 
 SF_DIR = f"{TESTDATA}/sf0.001"
 QUERIES = entry_points.queries()
@@ -115,6 +115,38 @@ def test_selected_cases_prune_the_roster_before_the_shuffle(spark, stored_frames
     assert "might_contain" in partial and "Exchange hashpartitioning" not in partial
 
 
+def test_hot_interview_is_split_in_the_row_level_join(spark, no_broadcast, tmp_path):
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    number = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 4000)
+    spark.range(0, 600000, 1, 8).select(
+        F.concat(F.lit("i"), number.cast("string")).alias("interview__id"),
+        F.xxhash64("id").alias("v"),
+    ).write.parquet(f"{tmp_path}/roster")
+    spark.range(5000).select(
+        F.concat(F.lit("i"), F.col("id").cast("string")).alias("interview__id")
+    ).write.parquet(f"{tmp_path}/cases")
+    roster = spark.read.parquet(f"{tmp_path}/roster")
+    cases = spark.read.parquet(f"{tmp_path}/cases")
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        joined = case_roster_join(cases, roster)
+        joined.collect()
+        plan = physical_plan(joined)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert "skew=true" in plan
+    plain = cases.join(roster, "interview__id", "left")
+    assert joined.count() == plain.count()
+
+
 def test_library_gives_no_broadcast_hints():
     import pathlib
 
