@@ -31,7 +31,8 @@ DICTIONARY_SCHEMA = T.StructType(
 def format_cell(value: Column, kind: str) -> Column:
     """Text of one cell: counts as they are, shares in percent, one decimal."""
     if kind == COUNT:
-        text = value.cast("string")
+        # Whole numbers without separators, also where answers are stored as doubles.
+        text = F.translate(F.format_number(value, 0), ",", "")
     elif kind == SHARE:
         text = F.format_number(value * 100, 1)
     elif kind == AVERAGE:

@@ -26,6 +26,8 @@ def test_format_cell(spark):
     assert [r[0] for r in counts.select(format_cell(F.col("n"), "N")).collect()] == [
         "1234567", "---",
     ]
+    doubles = spark.createDataFrame([(12345678.0,)], "n double")
+    assert doubles.select(format_cell(F.col("n"), "N")).first()[0] == "12345678"
     with pytest.raises(ValueError):
         format_cell(F.col("x"), "money")
 
