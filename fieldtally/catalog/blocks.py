@@ -19,7 +19,12 @@ from fieldtally.catalog.reports import (
     report_table,
 )
 from fieldtally.functions.labels import decode, value_label_frame
-from fieldtally.functions.options import any_option, option_columns, option_dummies
+from fieldtally.functions.options import (
+    any_option,
+    option_columns,
+    option_counts,
+    option_dummies,
+)
 from fieldtally.functions.semantics import (
     any_true,
     any_true_or_unknown,
@@ -482,18 +487,10 @@ def any_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     + """ FROM cases LEFT JOIN plots ON cases.interview__id = plots.interview__id GROUP BY team""",
 )
 def option_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts per code as columns; the codes are given, so no extra job finds them."""
-    codes = [1, 2, 3, 4]
-    pivoted = (
-        survey_frame(spark, sf_dir, "plots")
-        .groupBy(CASE_KEY)
-        .pivot("plot_use", codes)
-        .count()
-        .toDF(CASE_KEY, *(f"plot_use__{v}" for v in codes))
-    )
-    joined = attach(survey_frame(spark, sf_dir, "cases"), pivoted, "team")
-    names = [f"plot_use__{v}" for v in codes]
-    return sum_by_group(joined, "team", {n: F.sum(n) for n in names})
+    """Counts per code as columns."""
+    plots = survey_frame(spark, sf_dir, "plots")
+    cases = survey_frame(spark, sf_dir, "cases")
+    return tally(cases, plots, "team", option_counts(plots, "plot_use"))
 
 
 @_block(

@@ -56,6 +56,18 @@ def option_dummies(df: DataFrame, variable: str) -> DataFrame:
     return df.select("*", *dummies)
 
 
+def option_counts(df: DataFrame, variable: str) -> dict[str, Column]:
+    """Aggregates that count each labelled code, codes nobody chose included.
+
+    The codes are known from the labels, so this is a pivot without a job to
+    find its columns and with a single aggregation.
+    """
+    return {
+        option_column(variable, code): F.count_if(coded(df, variable) == code)
+        for code, _ in value_labels(df, variable)
+    }
+
+
 def _amount_variables(variables: str | Sequence[str]) -> list[str]:
     names = [variables] if isinstance(variables, str) else list(variables)
     if len(names) not in (1, 2):

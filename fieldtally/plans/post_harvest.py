@@ -13,7 +13,6 @@ from operator import add
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldtally.functions.labels import heading, value_labels
 from fieldtally.functions.options import (
     amount_missing,
     amount_unknown,
@@ -103,9 +102,9 @@ def temp_crop_harvest(
     if json_qnr_path is not None:
         found = option_labels(cases.sparkSession, json_qnr_path, why_not_harvest_var)
         labels = {
-            option_column(why_not_harvest_var, code): text for code, text in found
+            option_column(why_not_harvest_var, code).lower(): text for code, text in found
         }
-    options = [(name, labels.get(name, name)) for name in reasons]
+    options = [(name, labels.get(name.lower(), name)) for name in reasons]
     return monitoring_table("temp_crop_harvest", group_var, stats, options)
 
 

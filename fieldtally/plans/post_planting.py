@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldtally.functions.labels import heading, value_labels
-from fieldtally.functions.options import any_option, option_column
+from fieldtally.functions.options import any_option, option_column, option_counts
 from fieldtally.functions.semantics import coded, is_tagged, safe_ratio
 from fieldtally.operators.rollup import CASE_KEY, attach, roll_up, sum_by_group, tally
 from fieldtally.plans.table import MonitoringTable, monitoring_table
@@ -67,14 +67,6 @@ def _area_not_measured(df: DataFrame, gps_var: str, not_measured_val: float) ->
     )
 
 
-def _code_counts(df: DataFrame, variable: str) -> dict[str, Column]:
-    """How often each labelled code was chosen, codes nobody chose included."""
-    return {
-        option_column(variable, code): F.count_if(coded(df, variable) == code)
-        for code, _ in value_labels(df, variable)
-    }
-
-
 def _code_headings(df: DataFrame, variable: str) -> list[tuple[str, str]]:
     return [
         (option_column(variable, code), heading(text, code))
@@ -96,7 +88,7 @@ def _gps_report(
     group_var: str,
     unmatched_is_unmeasured: bool,
 ) -> MonitoringTable:
-    reasons = _code_counts(df, why_no_gps_var) if why_no_gps_var else {}
+    reasons = option_counts(df, why_no_gps_var) if why_no_gps_var else {}
     sums = tally(
         cases,
         df,
@@ -170,7 +162,7 @@ def plot_use(
     group_var: str,
 ) -> MonitoringTable:
     """Share of plots by labelled use."""
-    uses = _code_counts(plot_df, plot_use_var)
+    uses = option_counts(plot_df, plot_use_var)
     sums = tally(
         cases,
         plot_df,

@@ -44,6 +44,18 @@ def test_option_dummies_cover_every_label(spark):
     ]
 
 
+def test_option_counts_equal_pivot(spark):
+    df = spark.createDataFrame(
+        [("a", 1), ("a", 1), ("a", None), ("b", -98), ("b", 7)], "g string, use int"
+    )
+    df = L.with_value_labels(df, "use", [(1, "Crops"), (2, "Never"), (-98, "DK")])
+    counts = O.option_counts(df, "use")
+    got = df.groupBy("g").agg(*(e.alias(n) for n, e in counts.items()))
+    pivot = df.groupBy("g").pivot("use", [1, 2, -98]).count().fillna(0)
+    assert got.columns == ["g", "use__1", "use__2", "use__n98"]
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, pivot.collect()))
+
+
 def test_amount_predicates(spark):
     df = spark.createDataFrame(
         [

@@ -38,6 +38,16 @@ def test_query_equals_sql(spark, tables, key):
     assert result[1], "the query returns no rows"
 
 
+DUCKDB_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+
+
+@pytest.mark.parametrize("key", sorted(QUERIES))
+def test_column_types_equal(spark, tables, key):
+    types = {c: DUCKDB_TYPES[t] for c, t in QUERIES[key](spark, SF_DIR).dtypes}
+    described = tables.execute("DESCRIBE " + SQL[key]).fetchall()
+    assert types == {row[0]: row[1] for row in described}
+
+
 def test_entry(spark):
     df = entry_points.entry(spark)
     assert df.columns[:3] == ["team", "n_hholds", "n_any_ag"]

@@ -57,7 +57,7 @@ def test_temp_crop_harvest_labels_from_questionnaire(cases, crops, tmp_path):
     lines = [
         {"variable": "other", "type": "single", "answers": [{"value": 1, "label": "x"}]},
         {"variable": "why", "type": "multi", "answers": [
-            {"value": 1, "label": "Drought"}, {"value": -98, "label": "Don't know"},
+            {"value": 1, "label": "Drought"}, {"value": 2, "label": "Pests"},
         ]},
     ]
     path = tmp_path / "questions.jsonl"
@@ -67,8 +67,9 @@ def test_temp_crop_harvest_labels_from_questionnaire(cases, crops, tmp_path):
         why_not_harvest_var="why", group_var="team", json_qnr_path=str(path),
     )
     labels = {c.name: c.label for c in table.columns}
-    assert labels["why__1"] == "Drought" and labels["why__n98"] == "Don't know"
-    assert labels["WHY__2"] == "WHY__2"
+    assert labels["why__1"] == "Drought" and labels["WHY__2"] == "Pests"
+    # An option the questionnaire does not list keeps its column name.
+    assert labels["why__n98"] == "why__n98"
     assert table.columns[-1].spanner == "Why not harvested (%)"
 
 
