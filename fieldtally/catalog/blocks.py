@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -50,6 +48,7 @@ from fieldtally.operators.rollup import (
 from fieldtally.plans.table import format_cell
 from fieldtally.sources.frames import check_cases, load_frame, normalize_missing
 from fieldtally.sources.questionnaire import labels_from_lines
+from fieldtally.sources.shared import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -770,20 +769,11 @@ def table_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.labelled_cells().fillna({"spanner": "-"})
 
 
-def scratch_folder(spark: SparkSession) -> str:
-    """A fresh folder below the cluster's shared checkpoint folder.
-
-    Only a session without that setting, as in tests, gets a local one.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared or tempfile.mkdtemp(prefix='fieldtally-')}/{uuid.uuid4().hex}"
-
-
 @_block(
     "write_report",
     survey_cte("cases", "crops") + REPORT_SQL["crop_types"].text("enumerator"))
 def write_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A report written as parquet and read back."""
-    path = scratch_folder(spark)
+    path = scratch_path(spark)
     report_table(spark, sf_dir, "crop_types", "enumerator").write(path)
     return load_frame(spark, f"{path}/stats")

@@ -11,7 +11,8 @@ TESTDATA = "/root/testdata"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
     session = (
         SparkSession.builder.master("local[8]")
         .appName("fieldtally-tests")
@@ -19,6 +20,8 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")
+        .config("spark.checkpoint.dir", f"file://{shared}")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -6,14 +6,15 @@ from conftest import TESTDATA
 from helpers import duckdb_result, spark_result
 
 import __spark_entry__ as entry_points
+from fieldtally.catalog.registry import all_queries, all_sql
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
 ).split()
 SF_DIR = f"{TESTDATA}/sf0.001"
-QUERIES = entry_points.queries()
-SQL = entry_points.oracle_sql()
+QUERIES = all_queries()
+SQL = all_sql()
 
 
 @pytest.fixture(scope="module")
@@ -29,6 +30,7 @@ def tables():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_points.queries())
 
 
 @pytest.mark.parametrize("key", sorted(QUERIES))
