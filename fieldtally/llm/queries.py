@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from fieldtally.llm.blob_ledger import OP4_SQL, op4_blob_ledger
+from fieldtally.llm.mixing import op7_hypergeometric_mix
 
 CORPUS_QUERIES = {
     "op4_blob_ledger": op4_blob_ledger,
+    "op7_hypergeometric_mix": op7_hypergeometric_mix,
 }
 CORPUS_SQL = {
     "op4_blob_ledger": OP4_SQL,
