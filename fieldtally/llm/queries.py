@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from fieldtally.llm.blob_ledger import OP4_SQL, op4_blob_ledger
+from fieldtally.llm.covering_simhash import op10_covering_simhash
 from fieldtally.llm.mixing import op7_hypergeometric_mix
 
 CORPUS_QUERIES = {
     "op4_blob_ledger": op4_blob_ledger,
+    "op10_covering_simhash": op10_covering_simhash,
     "op7_hypergeometric_mix": op7_hypergeometric_mix,
 }
 CORPUS_SQL = {
