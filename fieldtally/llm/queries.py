@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from fieldtally.llm.blob_ledger import OP4_SQL, op4_blob_ledger
 from fieldtally.llm.covering_simhash import op10_covering_simhash
+from fieldtally.llm.langid import op1_bigru_language
 from fieldtally.llm.mixing import op7_hypergeometric_mix
 from fieldtally.llm.outliers import op9_mcd_outliers
 from fieldtally.llm.packing import op5_conflict_best_fit
 
 CORPUS_QUERIES = {
+    "op1_bigru_language": op1_bigru_language,
     "op4_blob_ledger": op4_blob_ledger,
     "op10_covering_simhash": op10_covering_simhash,
     "op5_conflict_best_fit": op5_conflict_best_fit,
