@@ -8,10 +8,12 @@ from fieldtally.llm.langid import op1_bigru_language
 from fieldtally.llm.mixing import op7_hypergeometric_mix
 from fieldtally.llm.outliers import op9_mcd_outliers
 from fieldtally.llm.packing import op5_conflict_best_fit
+from fieldtally.llm.pii import op2_bootstrapped_pii
 from fieldtally.llm.voronoi_knn import OP3_SQL, op3_voronoi_knn
 
 CORPUS_QUERIES = {
     "op1_bigru_language": op1_bigru_language,
+    "op2_bootstrapped_pii": op2_bootstrapped_pii,
     "op3_voronoi_knn": op3_voronoi_knn,
     "op4_blob_ledger": op4_blob_ledger,
     "op10_covering_simhash": op10_covering_simhash,
