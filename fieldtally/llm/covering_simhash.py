@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldtally.llm.basics import cut, table
+from fieldtally.llm.basics import cut, row_key, table
 from fieldtally.llm.components import components
 
 BITS = 64
@@ -139,23 +139,45 @@ def _flips(mask: int, radius: int) -> Column:
     return F.array(*(F.lit(_signed(sum(1 << b for b in c))).cast("long") for c in chosen))
 
 
-def near_duplicates(
-    docs: DataFrame, words: int = WORDS, radius: int = RADIUS, id_column: str = "doc_id"
-) -> DataFrame:
-    """(doc_id, fp, component_id): the smallest id reachable through links."""
+def grouped(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, key, fp) of `docs`, and (of, root) for every fingerprint `of`."""
     if radius % 2:
         raise ValueError("the radius must be even")
-    rows = cut(docs.select(F.col(id_column).alias("doc_id"), fingerprint(F.col("text"), words).alias("fp")))
-    nodes = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    found = cut(components(links(nodes, radius)))
-    rooted = nodes.join(found, nodes["fp"] == found["node"], "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root")
+    rows = cut(
+        docs.select(
+            "doc_id", row_key("doc_id", "text").alias("key"), fingerprint(F.col("text"), words).alias("fp")
+        )
     )
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = cut(rooted.join(least, "root").select(F.col("fp").alias("of"), "component_id"))
+    nodes = cut(rows.select("fp").distinct())
+    found = cut(components(links(nodes, radius)))
+    rooted = nodes.join(found, F.col("fp") == F.col("node"), "left")
+    return rows, cut(rooted.select(F.col("fp").alias("of"), F.coalesce("root", "fp").alias("root")))
+
+
+def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
+    """(doc_id, fp, component_id): the smallest id reachable through links."""
+    rows, roots = grouped(docs, words, radius)
+    first = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    named = first.join(roots, F.col("fp") == F.col("of")).select("of", "root", "first")
+    least = named.groupBy("root").agg(F.min("first").alias("component_id"))
+    named = cut(named.join(least, "root").select("of", "component_id"))
     return rows.join(named, F.col("fp") == F.col("of")).select("doc_id", "fp", "component_id")
 
 
+def deduplicate(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
+    """`docs` with one row of each component: the one of the smallest id, missing ids last."""
+    rows, roots = grouped(docs, words, radius)
+    order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "key")
+    first = rows.groupBy("fp").agg(F.min(order).alias("first"))
+    kept = first.join(roots, F.col("fp") == F.col("of")).groupBy("root").agg(F.min("first")["key"].alias("__kept"))
+    kept = cut(kept.select("__kept"))
+    joined = docs.withColumn("__key", row_key("doc_id", "text")).join(kept, F.col("__key") == F.col("__kept"))
+    repeated = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if repeated.take(1):  # rows that are equal in id and text: one of them stays
+        joined = joined.dropDuplicates(["__key"])
+    return joined.select(*docs.columns)
+
+
 def op10_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = near_duplicates(table(spark, sf_dir, "documents"))
