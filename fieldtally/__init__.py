@@ -6,6 +6,8 @@ they are made of.  A report takes DataFrames and column names and returns a
 DataFrame with one row per group.
 """
 
+from fieldtally.functions.labels import with_value_labels
+from fieldtally.operators.joins import restrict_to_cases
 from fieldtally.plans.post_harvest import (
     anim_prod_sales,
     cow_displacement,
@@ -32,10 +34,19 @@ from fieldtally.plans.post_planting import (
     plots_per_parcel,
 )
 from fieldtally.plans.table import MonitoringTable
+from fieldtally.sources.frames import (
+    assert_cases,
+    check_cases,
+    load_frame,
+    normalize_missing,
+)
+from fieldtally.sources.questionnaire import option_labels, questionnaire_labels
 
 __all__ = [
     "MonitoringTable",
     "anim_prod_sales",
+    "assert_cases",
+    "check_cases",
     "cow_displacement",
     "crop_labor",
     "crop_types",
@@ -44,6 +55,9 @@ __all__ = [
     "income_sources",
     "livestock_labor_tbl",
     "livestock_ownership",
+    "load_frame",
+    "normalize_missing",
+    "option_labels",
     "other_prod_sales",
     "parcel_gps",
     "parcels_per_hhold",
@@ -53,7 +67,10 @@ __all__ = [
     "plot_use",
     "plots_per_parcel",
     "process_crop_prod",
+    "questionnaire_labels",
+    "restrict_to_cases",
     "sector_labor",
     "temp_crop_harvest",
     "temp_crop_sales",
+    "with_value_labels",
 ]

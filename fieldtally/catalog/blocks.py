@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +15,7 @@ from fieldtally.catalog.reports import (
     TEMPORARY_CROPS,
     USE_VALS,
     report_table,
+    temp_crop_harvest_report,
 )
 from fieldtally.functions.labels import decode, value_label_frame
 from fieldtally.functions.options import (
@@ -47,7 +48,7 @@ from fieldtally.operators.rollup import (
 )
 from fieldtally.plans.table import format_cell
 from fieldtally.sources.frames import check_cases, load_frame, normalize_missing
-from fieldtally.sources.questionnaire import labels_from_lines
+from fieldtally.sources.questionnaire import questionnaire_labels
 from fieldtally.sources.shared import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -556,18 +557,22 @@ def null_skipping_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
 def first_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The group of an interview taken from its rows, of which one is the case.
 
-    Cases and roster are stacked and rolled up, which needs no join.
+    The roster is reduced to a count per interview first, so that the first value,
+    for which Spark sorts, is taken over two rows per interview. No join is needed.
     """
+    counts = roll_up(
+        survey_frame(spark, sf_dir, "parcels"), {"n_parcels": F.count("parcel_id")}
+    )
     rows = stack(
         (survey_frame(spark, sf_dir, "cases"), {"case": F.lit(1), "team": F.col("team")}),
-        (survey_frame(spark, sf_dir, "parcels"), {"parcel_id": F.col("parcel_id")}),
+        (counts, {"n_parcels": F.col("n_parcels")}),
     )
     rolled = roll_up(
         rows,
         {
             "cases": F.count("case"),
             "team": F.first("team", ignorenulls=True),
-            "n_parcels": F.count("parcel_id"),
+            "n_parcels": total(F.col("n_parcels")),
         },
     )
     return rolled.filter("cases > 0").drop("cases")
@@ -683,28 +688,37 @@ def normalize_gps_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _written_questions(spark: SparkSession, answers: DataFrame, kind: str) -> str:
+    """Path of a JSON-lines questionnaire from rows (variable, value, label)."""
+    answer = F.struct(F.col("value").cast("int").alias("value"), "label")
+    questions = answers.groupBy("variable").agg(
+        F.first(F.lit(kind)).alias("type"), F.sort_array(F.collect_list(answer)).alias("answers")
+    )
+    path = scratch_path(spark)
+    questions.select(F.to_json(F.struct("variable", "type", "answers"))).write.text(path)
+    return path
+
+
 @_block(
     "questionnaire_labels",
     """SELECT concat('item_', CAST(p_partkey AS STRING)) AS var, p_size AS value, p_brand AS label FROM part
     UNION ALL
     SELECT concat('item_', CAST(p_partkey AS STRING)), -98, concat(p_type, ' "other"') FROM part""",
 )
-def questionnaire_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Answer labels parsed from questions written as JSON lines."""
+def part_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answer labels read from a questionnaire file."""
     part = spark.read.parquet(f"{sf_dir}/part.parquet")
-
-    def answer(value: Column, label: Column) -> Column:
-        return F.struct(value.cast("int").alias("value"), label.alias("label"))
-
-    question = F.struct(
-        F.concat(F.lit("item_"), F.col("p_partkey").cast("string")).alias("variable"),
-        F.lit("multi-select").alias("type"),
-        F.array(
-            answer(F.col("p_size"), F.col("p_brand")),
-            answer(F.lit(-98), F.concat(F.col("p_type"), F.lit(' "other"'))),
-        ).alias("answers"),
+    variable = F.concat(F.lit("item_"), F.col("p_partkey").cast("string")).alias("variable")
+    answers = part.select(
+        variable, F.col("p_size").alias("value"), F.col("p_brand").alias("label")
+    ).unionByName(
+        part.select(
+            variable,
+            F.lit(-98).alias("value"),
+            F.concat(F.col("p_type"), F.lit(' "other"')).alias("label"),
+        )
     )
-    return labels_from_lines(part.select(F.to_json(question).alias("value")))
+    return questionnaire_labels(spark, _written_questions(spark, answers, "multi-select"))
 
 
 # Display
@@ -742,8 +756,75 @@ def display_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report_table(spark, sf_dir, "parcels_per_hhold").display()
 
 
+def _cells_sql(
+    key: str, title: str, columns: Sequence[tuple[str, str, str, str, str]], n_of: str = "team"
+) -> str:
+    """One row per cell with what the dictionary says of its column.
+
+    ``columns`` are (statistic, label, spanner, kind, footnote); labels in braces
+    are SQL.
+    """
+
+    def text(value: str) -> str:
+        return value[1:-1] if value.startswith("{") else "'" + value.replace("'", "''") + "'"
+
+    cells = (
+        f"SELECT {n_of}, '{title}' AS title, CAST({i} AS INTEGER) AS position, "
+        f"'{name}' AS statistic, {text(label)} AS label, {text(spanner)} AS spanner, "
+        f"'{kind}' AS kind, {text(note)} AS footnote, CAST({name} AS DOUBLE) AS value FROM report"
+        for i, (name, label, spanner, kind, note) in enumerate(columns, start=1)
+    )
+    report = REPORT_SQL[key]
+    whole = survey_cte(*report.frames) + report.text(n_of)
+    return f"WITH report AS ({whole})\n" + " UNION ALL ".join(cells)
+
+
+def _cells(stats: DataFrame, dictionary: DataFrame, group_var: str) -> DataFrame:
+    """Cells of a report joined to its dictionary."""
+    names = [c for c in stats.columns if c != group_var]
+    values = F.array(
+        *(F.struct(F.lit(n).alias("statistic"), F.col(n).cast("double").alias("value")) for n in names)
+    )
+    return (
+        stats.select(group_var, F.inline(values))
+        .join(dictionary, "statistic")
+        .select(
+            group_var, "title", "position", "statistic", "label", "spanner", "kind", "footnote", "value"
+        )
+        .fillna({"spanner": "-", "footnote": "-"})
+    )
+
+
+_TYPES = "Labor types (%)"
+_LABOR_NOTE = (
+    "Percentages may not sum to 100. Households may have multiple sources of crop labor."
+)
+
+
 @_block(
     "table_dictionary",
+    _cells_sql(
+        "crop_labor",
+        "Crop labor inputs",
+        (
+            ("grew_crops", "Grew crops (N)", "-", "N", "-"),
+            ("hhold_only", "Household labor only (%)", "-", "%", "-"),
+            ("external_only", "External labor only (%)", "-", "%", "-"),
+            ("hhold_labor", "Household", _TYPES, "%", _LABOR_NOTE),
+            ("paid_labor", "Paid", _TYPES, "%", _LABOR_NOTE),
+            ("free_labor", "Free/exchange", _TYPES, "%", _LABOR_NOTE),
+        ),
+        "enumerator",
+    ),
+)
+def table_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dictionary of a report, joined to its cells."""
+    table = report_table(spark, sf_dir, "crop_labor", "enumerator")
+    return _cells(table.stats, table.dictionary(), "enumerator")
+
+
+@_block(
+    "labelled_cells",
     _report_cte("parcels_per_hhold", "enumerator")
     + " UNION ALL ".join(
         f"SELECT enumerator, '{name}' AS statistic, '{label}' AS label, "
@@ -763,17 +844,61 @@ def display_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     ),
 )
-def table_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+def labelled_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells of a report with their labels, spanners and kinds."""
     table = report_table(spark, sf_dir, "parcels_per_hhold", "enumerator")
     return table.labelled_cells().fillna({"spanner": "-"})
 
 
+_REASON = "Why not harvested (%)"
+
+
+@_block(
+    "temp_crop_harvest_labelled",
+    _cells_sql(
+        "temp_crop_harvest",
+        "Prevalence of temporary crop harvest",
+        (
+            ("planted", "Planted (N)", "-", "N", "-"),
+            ("harvested", "Harvested (%)", "-", "%", "-"),
+            *(
+                (name, "{(SELECT r_name FROM region WHERE r_regionkey = " + key + ")}", _REASON, "%", "-")
+                for name, key in (("why_not__1", "1"), ("why_not__2", "2"), ("why_not__n98", "0"))
+            ),
+        ),
+    ),
+)
+def temp_crop_harvest_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report whose headings come from a questionnaire file."""
+    region = spark.read.parquet(f"{sf_dir}/region.parquet")
+    code = F.when(F.col("r_regionkey") == 0, -98).otherwise(F.col("r_regionkey"))
+    answers = region.select(
+        F.lit("why_not").alias("variable"), code.alias("value"), F.col("r_name").alias("label")
+    )
+    path = _written_questions(spark, answers, "multi-select")
+    table = temp_crop_harvest_report(
+        lambda name: survey_frame(spark, sf_dir, name), "team", json_qnr_path=path
+    )
+    return _cells(table.stats, table.dictionary(), "team")
+
+
 @_block(
     "write_report",
-    survey_cte("cases", "crops") + REPORT_SQL["crop_types"].text("enumerator"))
+    _cells_sql(
+        "crop_types",
+        "Crop types, by enumerator",
+        (
+            ("n_crops", "Crops (N)", "-", "N", "-"),
+            ("crop_temp", "Temporary", "Type (%)", "%", "-"),
+            ("crop_perm", "Permanent", "Type (%)", "%", "-"),
+        ),
+        "enumerator",
+    ),
+)
 def write_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A report written as parquet and read back."""
+    """A report written as parquet; its numbers and its dictionary read back."""
     path = scratch_path(spark)
     report_table(spark, sf_dir, "crop_types", "enumerator").write(path)
-    return load_frame(spark, f"{path}/stats")
+    return _cells(
+        load_frame(spark, f"{path}/stats"), load_frame(spark, f"{path}/dictionary"), "enumerator"
+    )

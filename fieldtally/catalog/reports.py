@@ -53,7 +53,9 @@ def _crop_types(f: Frame, g: str) -> ft.MonitoringTable:
     return ft.crop_types(f("crops"), f("cases"), "crop_type", group_var=g)
 
 
-def _temp_crop_harvest(f: Frame, g: str) -> ft.MonitoringTable:
+def temp_crop_harvest_report(
+    f: Frame, g: str, json_qnr_path: str | None = None
+) -> ft.MonitoringTable:
     return ft.temp_crop_harvest(
         f("crops"),
         f("cases"),
@@ -62,6 +64,7 @@ def _temp_crop_harvest(f: Frame, g: str) -> ft.MonitoringTable:
         "harvested",
         why_not_harvest_var="why_not",
         group_var=g,
+        json_qnr_path=json_qnr_path,
     )
 
 
@@ -204,17 +207,25 @@ def _sector_labor(f: Frame, g: str) -> ft.MonitoringTable:
 
 
 def _income_sources(f: Frame, g: str) -> ft.MonitoringTable:
-    crop_sales, products = f("crop_sales"), f("products")
+    # One frame per source with a column per use: each source is read once. Sales
+    # without a crop id are neither temporary nor permanent.
+    crop, product, sold = F.col("crop_id"), F.col("product_id"), F.col("sold")
+    crop_sales = f("crop_sales").withColumns(
+        {"temp_sold": F.when(crop < 12, sold), "perm_sold": F.when(crop >= 12, sold)}
+    )
+    products = f("products").withColumns(
+        {"processed_sold": F.when(product < 3, sold), "other_sold": F.when(product >= 3, sold)}
+    )
     return ft.income_sources(
         f("hhold"),
         "grew_crops",
         "raise_anim",
-        crop_sales.filter(F.col("crop_id") < 12),
-        "sold",
-        perm_crop_df=crop_sales.filter(F.col("crop_id") >= 12),
-        perm_crop_var="sold",
-        processed_df=products.filter(F.col("product_id") < 3),
-        processed_var="sold",
+        crop_sales,
+        "temp_sold",
+        perm_crop_df=crop_sales,
+        perm_crop_var="perm_sold",
+        processed_df=products,
+        processed_var="processed_sold",
         anim_df=f("livestock"),
         sold_live_anim_var="n_sold_live",
         slaughter_anim_var="slaughtered",
@@ -222,8 +233,8 @@ def _income_sources(f: Frame, g: str) -> ft.MonitoringTable:
         slaughter_poultry_var="poultry_killed",
         milk_var="milk",
         eggs_var="eggs",
-        oth_anim_prod_df=products.filter(F.col("product_id") >= 3),
-        oth_anim_var="sold",
+        oth_anim_prod_df=products,
+        oth_anim_var="other_sold",
         cases=f("cases"),
         group_var=g,
     )
@@ -237,7 +248,7 @@ REPORTS: dict[str, Callable[[Frame, str], ft.MonitoringTable]] = {
     "plot_gps": _plot_gps,
     "crops_per_plot": _crops_per_plot,
     "crop_types": _crop_types,
-    "temp_crop_harvest": _temp_crop_harvest,
+    "temp_crop_harvest": temp_crop_harvest_report,
     "temp_crop_sales": _temp_crop_sales,
     "perm_crop_harvest": _perm_crop_harvest,
     "perm_crop_sales": _perm_crop_sales,

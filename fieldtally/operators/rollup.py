@@ -33,11 +33,15 @@ def stack(*parts: tuple[DataFrame, Mapping[str, Column]]) -> DataFrame:
 
     Each part keeps the interview id and its own measures; measures of the
     other parts are NULL.  One roll-up over the stack replaces a shuffle and a
-    join per roster.
+    join per roster.  Parts that hold the same DataFrame object are one part, so
+    their roster is read once.
     """
+    merged: dict[int, tuple[DataFrame, dict[str, Column]]] = {}
+    for frame, measures in parts:
+        merged.setdefault(id(frame), (frame, {}))[1].update(measures)
     frames = [
         frame.select(CASE_KEY, *(expr.alias(name) for name, expr in measures.items()))
-        for frame, measures in parts
+        for frame, measures in merged.values()
     ]
     return reduce(
         lambda left, right: left.unionByName(right, allowMissingColumns=True), frames
@@ -63,6 +67,10 @@ def attach(
     ``unmatched`` gives the measures of a case without roster rows where they
     differ from 0.  With ``keep_unmatched=False`` such cases are dropped, which
     is what a filter on a roster column does to the row of NULLs.
+
+    Cases are meant to be one row per interview with an id. A repeated case counts
+    once per row, and a case without an id meets no roster row, not even one
+    without an id; ``sources.frames.assert_cases`` fails on either.
     """
     unmatched = unmatched or {}
     measures = [c for c in rolled.columns if c != CASE_KEY]

@@ -60,7 +60,7 @@ _SECTOR_LABOR_NOTE = (
 
 LAYOUTS: dict[str, Layout] = {
     "parcels_per_hhold": Layout(
-        title="Parcels per household, by team",
+        title="Parcels per household, by {group}",
         columns={
             "interviews": ("Interviews (N)", COUNT),
             "parcels": ("Total parcels (N)", COUNT),
@@ -70,7 +70,7 @@ LAYOUTS: dict[str, Layout] = {
         spanners={"Parcels (%)": ("ag", "non_ag")},
     ),
     "parcel_gps": Layout(
-        title="Parcel GPS area measurement, by team",
+        title="Parcel GPS area measurement, by {group}",
         columns={
             "parcels": ("Parcels (N)", COUNT),
             "not_measured": ("Not measured (N)", COUNT),
@@ -78,7 +78,7 @@ LAYOUTS: dict[str, Layout] = {
         options="Why not measured (%)",
     ),
     "plots_per_parcel": Layout(
-        title="Number of plots per parcel, by team",
+        title="Number of plots per parcel, by {group}",
         columns={
             "n_parcels": ("Parcels (N)", COUNT),
             "n_plots": ("Plots (N)", COUNT),
@@ -86,12 +86,12 @@ LAYOUTS: dict[str, Layout] = {
         },
     ),
     "plot_use": Layout(
-        title="Plot use, by team",
+        title="Plot use, by {group}",
         columns={"plots": ("Plots (N)", COUNT)},
         options="Use (%)",
     ),
     "plot_gps": Layout(
-        title="Plot GPS area measurement, by team",
+        title="Plot GPS area measurement, by {group}",
         columns={
             "plots": ("Plots (N)", COUNT),
             "not_measured": ("Not measured (N)", COUNT),
@@ -99,7 +99,7 @@ LAYOUTS: dict[str, Layout] = {
         options="Why not measured (%)",
     ),
     "crops_per_plot": Layout(
-        title="Number of crops per plot, by team",
+        title="Number of crops per plot, by {group}",
         columns={
             "n_plots": ("Plots (N)", COUNT),
             "n_crops": ("Crops (N)", COUNT),
@@ -107,7 +107,7 @@ LAYOUTS: dict[str, Layout] = {
         },
     ),
     "crop_types": Layout(
-        title="Crop types, by team",
+        title="Crop types, by {group}",
         columns={
             "n_crops": ("Crops (N)", COUNT),
             "crop_temp": ("Temporary", SHARE),

@@ -17,10 +17,10 @@ from fieldtally.functions.options import any_option, option_column, option_count
 from fieldtally.functions.semantics import coded, is_tagged, safe_ratio
 from fieldtally.operators.rollup import CASE_KEY, attach, roll_up, sum_by_group, tally
 from fieldtally.plans.table import MonitoringTable, monitoring_table
+from fieldtally.sources.frames import EXPORT_NUMERIC_MISSING
 
 # Answer codes of the survey software and of the questionnaires.
 AREA_NOT_MEASURED = -9999
-EXPORT_NUMERIC_MISSING = -999999999
 TEMPORARY_CROP = 1
 PERMANENT_CROP = 2
 

@@ -104,8 +104,9 @@ class MonitoringTable:
 
     def write(self, path: str, mode: str = "error") -> None:
         """Store numbers and dictionary as parquet next to each other."""
-        self.stats.write.mode(mode).parquet(f"{path}/stats")
+        # The dictionary first: it costs nothing, and a path in use fails at once.
         self.dictionary().coalesce(1).write.mode(mode).parquet(f"{path}/dictionary")
+        self.stats.write.mode(mode).parquet(f"{path}/stats")
 
 
 def monitoring_table(
@@ -119,7 +120,7 @@ def monitoring_table(
     """Bind statistics to their layout.
 
     ``options`` lists (column, heading) of the answer-option columns; ``fill``
-    completes labels the caller chooses.
+    completes labels the caller chooses.  A layout's title names the group.
     """
     layout = LAYOUTS[report]
     spanner_of = {c: s for s, names in layout.spanners.items() for c in names}
@@ -144,6 +145,5 @@ def monitoring_table(
         ReportColumn(name=name, label=text, kind=SHARE, spanner=layout.options)
         for name, text in options
     ]
-    return MonitoringTable(
-        report, layout.title or title, group_var, stats, tuple(columns)
-    )
+    heading = layout.title.format(group=group_var) if layout.title else title
+    return MonitoringTable(report, heading, group_var, stats, tuple(columns))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,6 +60,23 @@ def check_cases(cases: DataFrame, group_var: str) -> DataFrame:
     )
 
 
+def assert_cases(cases: DataFrame, group_var: str) -> DataFrame:
+    """The same cases; the job that reads them fails on missing or repeated ids.
+
+    Nothing runs when this is called. The ids are grouped by the key that reports
+    join on; pass the result to a report in place of the cases.
+    """
+    absent = [c for c in (CASE_KEY, group_var) if c not in cases.columns]
+    if absent:
+        raise ValueError(f"cases frame lacks columns {absent}")
+    rows = F.count(F.lit(1)).over(Window.partitionBy(CASE_KEY))
+    problem = F.when(F.col(CASE_KEY).isNull(), F.lit("a case has no interview id")).when(
+        F.col("__rows") > 1, F.concat(F.lit("repeated interview id: "), CASE_KEY)
+    )
+    fine = F.when(problem.isNull(), True).otherwise(F.raise_error(problem).cast("boolean"))
+    return cases.withColumn("__rows", rows).where(fine).drop("__rows")
+
+
 def normalize_missing(
     df: DataFrame,
     columns: Sequence[str],

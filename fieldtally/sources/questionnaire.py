@@ -35,7 +35,8 @@ def labels_from_lines(lines: DataFrame, column: str = "value") -> DataFrame:
 def option_labels(spark: SparkSession, path: str, variable: str) -> list[tuple[int, str]]:
     """(code, label) pairs of one question, for table headings.
 
-    This starts a small job; its result is the option list of one question.
+    This starts a small job; its result is the option list of one question. A
+    code that occurs twice raises an error.
     """
     rows = (
         questionnaire_labels(spark, path)
@@ -43,4 +44,8 @@ def option_labels(spark: SparkSession, path: str, variable: str) -> list[tuple[i
         .select("value", "label")
         .collect()
     )
+    codes = [r["value"] for r in rows]
+    repeated = sorted({c for c in codes if codes.count(c) > 1}, key=str)
+    if repeated:
+        raise ValueError(f"question {variable!r} repeats the codes {repeated}")
     return [(r["value"], r["label"]) for r in rows]
