@@ -7,7 +7,7 @@ follows the count of each language, over all training rows.
 
 NULL texts and texts without a letter are `und` with score 0, and so is all if
 nothing is labelled. Rows that repeat are scored alike; an empty table gives an
-empty result; other columns pass through, and the added ones must not clash.
+empty result; other columns pass through.
 """
 
 from __future__ import annotations
@@ -71,10 +71,13 @@ def fit(docs: DataFrame, how: Training = Training()) -> Network | None:
     return train(windows, labels, how)
 
 
-def predict(docs: DataFrame, net: Network | None) -> DataFrame:
-    """`docs` with lang_pred and score."""
+def predict(
+    docs: DataFrame, net: Network | None, names: tuple[str, str] = ("lang_pred", "score")
+) -> DataFrame:
+    """`docs` with language and score, under the given names."""
+    lang, share = names
     if net is None:
-        return docs.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
+        return docs.withColumns({lang: F.lit(UNKNOWN), share: F.lit(0.0)})
 
     @F.pandas_udf("lang string, score double")
     def best(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -89,8 +92,8 @@ def predict(docs: DataFrame, net: Network | None) -> DataFrame:
         docs.withColumn("__found", found)
         .withColumns(
             {
-                "lang_pred": F.when(known, F.col("__found.lang")).otherwise(UNKNOWN),
-                "score": F.when(known, F.least(F.col("__found.score"), F.lit(1.0))).otherwise(0.0),
+                lang: F.when(known, F.col("__found.lang")).otherwise(UNKNOWN),
+                share: F.when(known, F.least(F.col("__found.score"), F.lit(1.0))).otherwise(0.0),
             }
         )
         .drop("__found")

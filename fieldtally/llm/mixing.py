@@ -304,14 +304,14 @@ def mixed_documents(docs: DataFrame, plan: MixPlan = PLAN) -> DataFrame:
     """The mix itself: the rows of `docs`, each as often as it is taken."""
     taken = mix(docs, plan).where("taken > 0")
     # rows that are equal in key are one group here, so that the join multiplies none
-    turns = taken.groupBy("key").agg(
-        F.sum(F.size("shards")).alias("turns"), F.count(F.lit(1)).alias("copies")
+    turns = taken.groupBy(F.col("key").alias("__of")).agg(
+        F.sum(F.size("shards")).alias("__turns"), F.count(F.lit(1)).alias("__copies")
     )
     keyed = docs.withColumn("__key", row_key("doc_id", "text", "source"))
-    joined = keyed.join(turns, keyed["__key"] == turns["key"])
+    joined = keyed.join(turns, F.col("__key") == F.col("__of"))
     # equal rows share their turns: the first ones in any order get one more
-    least = F.floor(F.col("turns") / F.col("copies"))
-    more = F.col("turns") - least * F.col("copies")
+    least = F.floor(F.col("__turns") / F.col("__copies"))
+    more = F.col("__turns") - least * F.col("__copies")
     number = F.when(more == 0, least).otherwise(
         least
         + (

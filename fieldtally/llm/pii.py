@@ -255,9 +255,9 @@ def redact(docs: DataFrame, plan: Bootstrap = PLAN) -> DataFrame:
     Overlapping spans are one, under the kind that starts first; `n_chars`, if
     there is one, follows the new text.
     """
-    found = find_pii(docs, plan).select("key", F.concat("base", "extra").alias("spans"))
-    found = cut(found.where(F.size("spans") > 0).dropDuplicates(["key"]).withColumnRenamed("key", "__of"))
-    order = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"], s["end"], s["kind"])))
+    found = find_pii(docs, plan).select("key", F.concat("base", "extra").alias("__spans"))
+    found = cut(found.where(F.size("__spans") > 0).dropDuplicates(["key"]).withColumnRenamed("key", "__of"))
+    order = F.array_sort(F.transform("__spans", lambda s: F.struct(s["start"], s["end"], s["kind"])))
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
 
     def step(state: Column, span: Column) -> Column:
@@ -279,8 +279,8 @@ def redact(docs: DataFrame, plan: Bootstrap = PLAN) -> DataFrame:
     joined = docs.withColumn("__key", row_key("doc_id", "text")).join(
         found, F.col("__key") == F.col("__of"), "left"
     )
-    out = joined.withColumn("text", F.when(F.col("spans").isNull(), F.col("text")).otherwise(clean))
+    out = joined.withColumn("text", F.when(F.col("__spans").isNull(), F.col("text")).otherwise(clean))
     if "n_chars" in docs.columns:
-        n = F.when(F.col("spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))
+        n = F.when(F.col("__spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))
         out = out.withColumn("n_chars", n)
     return out.select(*docs.columns)
