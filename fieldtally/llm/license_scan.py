@@ -197,7 +197,9 @@ def inherit(own: DataFrame) -> DataFrame:
 def document_path() -> Column:
     """Where the documents table would keep a document: /source/language/id."""
     part = lambda c: F.coalesce(c, F.lit("none"))
-    return F.concat_ws("/", F.lit(""), part(F.col("source")), part(F.col("lang")), F.col("doc_id").cast("string"))
+    return F.concat_ws(
+        "/", F.lit(""), part(F.col("source")), part(F.col("lang")), part(F.col("doc_id").cast("string"))
+    )
 
 
 def op8_license_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,6 +208,6 @@ def op8_license_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = docs.select("doc_id", document_path().alias("path"), "text")
     found = inherit(own_licenses(files.select("path", "text")))
     return found.select(
-        F.substring_index("path", "/", -1).cast("long").alias("doc_id"),
+        F.substring_index("path", "/", -1).try_cast("long").alias("doc_id"),
         "path", "own", F.round("cosine", 6).alias("cosine"), "license", "from_dir",
     )

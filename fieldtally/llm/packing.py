@@ -1,8 +1,8 @@
 """Operator 5: best-fit packing of documents into sequences, with conflicts.
 
 Texts are measured in words and cut into pieces of at most one sequence. Rows are
-dealt by hash into shards of bounded size; inside a shard pieces go, largest
-first, into the open sequence with the smallest residual that holds them. Open
+dealt by hash into shards of bounded size; inside a shard pieces go, those of
+large clusters first and then the largest first, into the open sequence with the smallest residual that holds them. Open
 sequences are ordered by residual and carry two bitmaps: the duplicate clusters
 that they hold, and the sources that have reached their share of the sequence. A
 sequence that shares a bit with the piece is skipped and the search goes on to
@@ -50,7 +50,7 @@ OUTPUT = f"doc_id long, piece int, first_word long, words int, {PLACE}"
 def best_fit(
     sizes: list[int], sources: list[int], clusters: list[int], capacity: int, share: float
 ) -> list[tuple[int, int]]:
-    """(sequence, offset) of each piece; pieces come largest first.
+    """(sequence, offset) of each piece, in the order given.
 
     `sources` and `clusters` are bit numbers, -1 where a piece has no cluster to
     share with another. A piece that fills a sequence has it alone.
@@ -88,10 +88,14 @@ def best_fit(
 
 def _pack_shard(plan: PackPlan) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(
-            ["words", "a", "b", "piece"], ascending=[False, True, True, True], kind="stable"
+        # clusters of many members first, as each member needs a sequence of its own
+        members = frame.groupby("cluster")["cluster"].transform("size")
+        frame = frame.assign(members=members).sort_values(
+            ["members", "words", "a", "b", "piece"],
+            ascending=[False, False, True, True, True],
+            kind="stable",
         )
-        shared = frame["cluster"].duplicated(keep=False)
+        shared = frame["members"] > 1
         clusters = pd.factorize(frame["cluster"].where(shared))[0].tolist()
         sources = pd.factorize(frame["source"])[0].tolist()
         placed = best_fit(
