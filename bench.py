@@ -1,8 +1,12 @@
 """Time the reports by team; prints one JSON line.
 
+Every report runs in the library's form and as the plain join-then-aggregate SQL,
+in turns in one session, so that both see the same machine. `value` and `queries`
+are the library's medians, `direct` those of the plain SQL.
+
 Environment: BENCH_SF_DIR (tables), BENCH_CPUS (local threads), BENCH_RUNS
-(timed runs per report, the median counts), BENCH_FORM=direct to time the plain
-join-then-aggregate SQL instead of the library.
+(timed runs per report and form), BENCH_ONLY (some reports, comma-joined),
+BENCH_MEMORY (driver memory).
 """
 
 from __future__ import annotations
@@ -48,13 +52,13 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
-    direct = os.environ.get("BENCH_FORM") == "direct"
     only = os.environ.get("BENCH_ONLY")
     spark = session(cpus)
 
-    def build(key: str) -> DataFrame:
-        if not direct:
-            return report_table(spark, sf_dir, key).stats
+    def library(key: str) -> DataFrame:
+        return report_table(spark, sf_dir, key).stats
+
+    def plain(key: str) -> DataFrame:
         sql = REPORT_SQL[key]
         return spark.sql(survey_cte(*sql.frames) + sql.text("team"))
 
@@ -63,10 +67,12 @@ def main() -> None:
         spark.read.parquet(path).createOrReplaceTempView(table)
 
     keys = [k for k in REPORTS if only is None or k in only.split(",")]
-    timings = {}
+    timings, direct = {}, {}
     for key in keys:
-        run(build(key))
-        timings[key] = statistics.median(run(build(key)) for _ in range(runs))
+        run(library(key)), run(plain(key))
+        pairs = [(run(library(key)), run(plain(key))) for _ in range(runs)]
+        timings[key] = statistics.median(a for a, _ in pairs)
+        direct[key] = statistics.median(b for _, b in pairs)
     scale = re.search(r"sf([0-9.]+)$", sf_dir)
     print(
         json.dumps(
@@ -76,7 +82,8 @@ def main() -> None:
                 "unit": "sec",
                 "queries": {k: round(v, 3) for k, v in timings.items()},
                 "sf": float(scale.group(1)) if scale else sf_dir,
-                "form": "direct" if direct else "rolled up",
+                "direct_value": round(sum(direct.values()), 3),
+                "direct": {k: round(v, 3) for k, v in direct.items()},
                 "cpus": cpus,
             }
         )
