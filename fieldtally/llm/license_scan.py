@@ -25,7 +25,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldtally.llm.basics import cut, row_key, table, word_count
+from fieldtally.llm.basics import WORD, cut, row_key, table, word_count
 
 # Notices by which licenses are given, under their SPDX names.
 TEMPLATES = {
@@ -211,3 +211,42 @@ def op8_license_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.substring_index("path", "/", -1).try_cast("long").alias("doc_id"),
         "path", "own", F.round("cosine", 6).alias("cosine"), "license", "from_dir",
     )
+
+
+def _duck_sql() -> str:
+    """The same in plain form: every line against every template."""
+    notices = ", ".join(f"('{name}', '{text}')" for name, text in sorted(TEMPLATES.items()))
+
+    def terms_of(x: str) -> str:
+        return f"regexp_extract_all(lower({x}), '{TERM}')"
+
+    def words_of(x: str) -> str:
+        return f"len(regexp_extract_all({x}, '{WORD}'))"
+
+    return f"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text,
+    '/' || coalesce(source, 'none') || '/' || coalesce(lang, 'none') AS dir FROM documents),
+  tt AS (SELECT license, term, CAST(count(*) AS DOUBLE) AS tf FROM
+    (SELECT license, unnest({terms_of("notice")}) AS term FROM (VALUES {notices}) t(license, notice)) GROUP BY ALL),
+  df AS (SELECT term, count(*) AS df FROM (SELECT DISTINCT rid, term FROM
+    (SELECT rid, unnest(list_distinct({terms_of("text")})) AS term FROM d) JOIN (SELECT DISTINCT term FROM tt) USING (term)) GROUP BY term),
+  idf AS (SELECT term, ln((1 + (SELECT count(*) FROM d)) / CAST(1 + coalesce(df, 0) AS DOUBLE)) + 1 AS idf
+    FROM (SELECT DISTINCT term FROM tt) LEFT JOIN df USING (term)),
+  w AS (SELECT license, term, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY license)) AS weight FROM tt JOIN idf USING (term)),
+  l AS (SELECT row_number() OVER () AS line, rid, x, {words_of("x")} AS words FROM (SELECT rid, unnest(string_split(text, chr(10))) AS x FROM d)),
+  lt AS (SELECT line, rid, words, term, count(*) AS tf FROM (SELECT line, rid, words, unnest({terms_of("x")}) AS term FROM l) GROUP BY ALL),
+  n AS (SELECT line, sqrt(sum(pow(tf * coalesce(idf, (SELECT max(idf) FROM idf)), 2))) AS norm FROM lt LEFT JOIN idf USING (term) GROUP BY line),
+  c AS (SELECT line, rid, words, license, round(sum(tf * idf * weight) / any_value(norm), 9) AS cosine
+    FROM lt JOIN w USING (term) JOIN idf USING (term) JOIN n USING (line) GROUP BY ALL HAVING round(sum(tf * idf * weight) / any_value(norm), 9) >= {THRESHOLD}),
+  b AS (SELECT * FROM (SELECT rid, license AS own, cosine, row_number() OVER (PARTITION BY rid ORDER BY cosine DESC, license) AS k FROM c) WHERE k = 1),
+  o AS (SELECT d.rid, doc_id, dir, own, b.cosine, coalesce((SELECT sum(words) FROM c WHERE c.rid = d.rid AND c.license = b.own), 0)
+      / CAST(greatest({words_of("text")}, 1) AS DOUBLE) AS share FROM d LEFT JOIN b ON d.rid = b.rid),
+  h AS (SELECT dir AS above, own AS license FROM (SELECT dir, own, row_number() OVER (PARTITION BY dir ORDER BY cosine DESC, own) AS k
+    FROM o WHERE own IS NOT NULL AND share >= {MOSTLY}) WHERE k = 1),
+  a AS (SELECT dir, license, above FROM (SELECT x.dir, license, above, row_number() OVER (PARTITION BY x.dir ORDER BY length(above) DESC) AS k
+    FROM (SELECT DISTINCT dir FROM o) x JOIN h ON h.above = x.dir OR starts_with(x.dir, h.above || '/')) WHERE k = 1)
+  SELECT doc_id, o.dir || '/' || coalesce(CAST(doc_id AS VARCHAR), 'none') AS path, own, round(cosine, 6) AS cosine,
+    coalesce(own, a.license) AS license, CASE WHEN own IS NULL THEN above END AS from_dir
+  FROM o LEFT JOIN a ON o.dir = a.dir"""
+
+
+OP8_SQL = _duck_sql()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from fieldtally.llm.blob_ledger import OP4_SQL, op4_blob_ledger
 from fieldtally.llm.covering_simhash import op10_covering_simhash
 from fieldtally.llm.langid import op1_bigru_language
-from fieldtally.llm.license_scan import op8_license_tfidf
+from fieldtally.llm.license_scan import OP8_SQL, op8_license_tfidf
 from fieldtally.llm.mixing import op7_hypergeometric_mix
 from fieldtally.llm.outliers import op9_mcd_outliers
 from fieldtally.llm.packing import op5_conflict_best_fit
@@ -28,4 +28,5 @@ CORPUS_QUERIES = {
 CORPUS_SQL = {
     "op3_voronoi_knn": OP3_SQL,
     "op4_blob_ledger": OP4_SQL,
+    "op8_license_tfidf": OP8_SQL,
 }

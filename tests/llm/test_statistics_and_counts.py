@@ -3,13 +3,14 @@
 import collections
 import re
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import models
 
 from fieldtally.llm import license_scan, outliers, viterbi_counts
-from fieldtally.llm.queries import CORPUS_QUERIES
+from fieldtally.llm.queries import CORPUS_QUERIES, CORPUS_SQL
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
@@ -193,7 +194,13 @@ def test_cosines_equal_a_plain_computation(spark):
 @pytest.mark.parametrize("table", ["corpus", "odd", "empty"])
 def test_licenses_of_documents(request, spark, at, table):
     docs = request.getfixturevalue(table)
-    got = CORPUS_QUERIES["op8_license_tfidf"](spark, at(docs)).collect()
+    folder = at(docs)
+    got = CORPUS_QUERIES["op8_license_tfidf"](spark, folder).collect()
+    if got:
+        with duckdb.connect() as c:
+            c.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet/*.parquet'")
+            rows = c.execute(f"SELECT {', '.join(got[0].asDict())} FROM ({CORPUS_SQL['op8_license_tfidf']})").fetchall()
+        assert sorted(map(str, map(tuple, got))) == sorted(map(str, rows))
     assert sorted(str(r["doc_id"]) for r in got) == sorted(str(r["doc_id"]) for r in docs.collect())
     notices = {n: k for k, n in license_scan.TEMPLATES.items()}
     for r in docs.collect() if table == "corpus" else ():
