@@ -224,9 +224,23 @@ def _start(rows: DataFrame, plan: OutlierPlan) -> DataFrame:
     )
 
 
+#: Parts that the rows of a group are dealt to when they meet its estimate.
+SALTS = 64
+
+
+def _spread(per_group: DataFrame) -> DataFrame:
+    """A row per group and salt, with the group as `of`."""
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("of_salt")
+    return per_group.withColumnRenamed("g", "of").select("*", salts)
+
+
+def _on_group() -> Column:
+    """Joins on it leave no group in one task, however many rows it has."""
+    return (F.col("g") == F.col("of")) & (F.col("salt") == F.col("of_salt"))
+
+
 def _measured(rows: DataFrame, estimate: DataFrame) -> DataFrame:
-    renamed = estimate.withColumnRenamed("g", "of")
-    joined = rows.join(renamed, F.col("g") == F.col("of"), "left").drop("of")
+    joined = rows.join(_spread(estimate), _on_group(), "left").drop("of", "of_salt")
     return joined.withColumn("d2", _distance(F.col("z"), F.col("mean"), F.col("inverse"))).drop(
         "mean", "inverse"
     )
@@ -237,25 +251,30 @@ CONSISTENT = 1.6
 
 
 def estimates(rows: DataFrame, plan: OutlierPlan = PLAN) -> DataFrame:
-    """(g, mean, inverse) of every group of `rows` (g, z)."""
+    """(g, mean, inverse) of every group of `rows` (g, z, salt)."""
     estimate = cut(_start(rows, plan))
     for step in range(plan.steps):
-        measured = _measured(rows, estimate).select("g", "z", _bin(F.col("d2")).alias("bin"))
+        measured = _measured(rows, estimate).select("g", "salt", "z", _bin(F.col("d2")).alias("bin"))
         counts = measured.groupBy("g", "bin").agg(F.count(F.lit(1)).alias("n"))
-        edges = cut(_share_bins(counts, ["g"], plan.share, "edge").withColumnRenamed("g", "of"))
-        kept = measured.join(edges, F.col("g") == F.col("of")).where("bin <= edge")
+        edges = cut(_share_bins(counts, ["g"], plan.share, "edge"))
+        kept = measured.join(_spread(edges), _on_group()).where("bin <= edge")
         covered = CONSISTENT if step == plan.steps - 1 else 1.0
         estimate = cut(_moments(kept).mapInPandas(_invert(plan, covered), ESTIMATE))
     return estimate
 
 
+def salt(*columns: str) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(SALTS)).cast("int")
+
+
 def judge(docs: DataFrame, plan: OutlierPlan = PLAN) -> DataFrame:
     """Statistics, base_failed, squared distance d2 and kept for every row of `docs`."""
     rows = cut(_grouped(cut(with_statistics(docs)), plan))
+    rows = rows.withColumn("salt", salt("doc_id", "word_chars", "n_words"))
     good = rows.where(~F.col("base_failed") & F.col("g").isNotNull())
-    measured = _measured(rows, estimates(good.select("g", "z"), plan))
+    measured = _measured(rows, estimates(good.select("g", "z", "salt"), plan))
     near = F.coalesce(F.col("d2") <= plan.cutoff, F.lit(True))
-    return measured.withColumn("kept", ~F.col("base_failed") & near).drop("z", "g")
+    return measured.withColumn("kept", ~F.col("base_failed") & near).drop("z", "g", "salt")
 
 
 def op9_mcd_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
