@@ -170,6 +170,10 @@ def _hypergeometric(n: Column, rest: Column, left: Column, u: Column) -> Column:
     )
 
 
+#: The tree grows in one task for so many levels; then its nodes are dealt out.
+SPREAD_LEVELS = 6
+
+
 def split_tree(sources: DataFrame, shards: int, seed: int) -> DataFrame:
     """(rank, shard, low, high): the draws [low, high) of a source that a shard gets.
 
@@ -184,6 +188,8 @@ def split_tree(sources: DataFrame, shards: int, seed: int) -> DataFrame:
         F.transform("s", lambda x: x["rank"]).alias("ranks"),
     )
     for level in range(max(0, math.ceil(math.log2(shards)))):
+        if level and level % SPREAD_LEVELS == 0:  # the nodes are many by now
+            nodes = nodes.repartition("shard")
         total = F.aggregate("n", F.lit(0).cast("long"), lambda a, x: a + x)
         half = F.floor((F.col("width") + 1) / 2).cast("int")
         nodes = nodes.withColumns({"total": total, "half": half})
@@ -257,8 +263,11 @@ def mix(docs: DataFrame, plan: MixPlan = PLAN) -> DataFrame:
     shards = max(1, math.ceil((words[0] or 0) / plan.shard_words))
     counts = draws.groupBy("rank").agg(F.sum(F.size("draws")).alias("draws"))
     ranges = split_tree(counts, shards, plan.seed).where("high > low")
-    dealt = ranges.select(
-        "rank", "shard", F.explode(F.sequence("low", F.col("high") - 1)).alias("draw")
+    # stored, so that its size is known where it is joined
+    dealt = cut(
+        ranges.select(
+            "rank", "shard", F.explode(F.sequence("low", F.col("high") - 1)).alias("draw")
+        )
     )
     placed = (
         draws.select("rank", "block", F.posexplode("draws").alias("turn", "draw"))
