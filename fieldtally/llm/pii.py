@@ -2,8 +2,10 @@
 
 Base patterns find e-mail addresses, IP addresses, card and phone numbers with
 their places. They are the seeds: the two words in front of a seed, and the words
-around it, are patterns of its kind. Every other token with a digit or an @ is an
-instance that may be met in the same patterns. Spark then scores the graph of
+around it, are patterns of its kind. Every token with a digit or an @ that is no part
+of a seed is an instance that may be met in the same patterns, without the
+punctuation that encloses it. The words come from the whole text, so a place has the
+same patterns whether a seed or a token stands there. Spark then scores the graph of
 patterns and instances in rounds: a pattern is worth the share of its distinct
 instances that are known, an instance one minus the product of what its patterns
 leave open. Instances of a high score, met in a pattern of a high score, are
@@ -25,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldtally.llm.basics import cut, row_key, table
-from fieldtally.llm.spans import digest, find_spans, label
+from fieldtally.llm.spans import SPAN, digest, find_spans, label
 
 
 @dataclass(frozen=True)
@@ -57,8 +59,14 @@ HINTS = {
     "card": "[0-9][ -]?[0-9]",
     "phone": r"\+[0-9]",
 }
-#: A token with a digit or an @, and numbers that continue it.
-TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+(?:\x20[(]?[0-9][0-9().-]*+)*+"
+#: A token with a digit or an @, and numbers that continue it unless punctuation ends it.
+TOKEN = (
+    r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
+    r"(?:(?<![.,;:!?])\x20[(]?[0-9][0-9().-]*+)*+"
+)
+#: Punctuation in front of a token's own characters, and behind them.
+OPENS = r"^[(\[{<\"'`]++"
+CLOSES = r"(?<![.,;:!?)\]}>\"'`])[.,;:!?)\]}>\"'`]++$"
 OCTETS = r"^0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])(?:\.0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])){3}$"
 MENTION = "array<struct<kind:string,start:int,end:int,instance:bigint,patterns:array<bigint>>>"
 
@@ -120,27 +128,72 @@ def _mentions(found: Column, kind: str | None, plan: Bootstrap) -> Column:
 
 def base_mentions(text: Column, plan: Bootstrap = PLAN) -> Column:
     """Base spans of a text, by kind as listed, then by place."""
-    return F.concat(*(_mentions(_kept(text, k), k, plan) for k in KINDS))
+    return F.concat(*(_mentions(_kept(text, k, plan), k, plan) for k in KINDS))
 
 
-def _kept(text: Column, kind: str) -> Column:
-    found = find_spans(text, PATTERNS[kind], text.rlike(HINTS[kind]))
+def _in_text(found: Column, plan: Bootstrap) -> Column:
+    """`found` with `before` and `after` reaching over neighbouring matches."""
+    none = F.lit("")
+    spans = F.array().cast(SPAN)
+
+    def walk(found: Column, add) -> Column:
+        start = F.struct(none.alias("near"), spans.alias("spans"))
+        return F.aggregate(found, start, add, lambda s: s["spans"])
+
+    def forward(state: Column, s: Column) -> Column:
+        before = F.right(F.concat(state["near"], s["before"]), F.lit(plan.reach))
+        near = F.right(F.concat(before, s["value"]), F.lit(plan.reach))
+        return F.struct(near.alias("near"), F.concat(state["spans"], F.array(s.withField("before", before))).alias("spans"))
+
+    def backward(state: Column, s: Column) -> Column:
+        after = F.left(F.concat(s["after"], state["near"]), F.lit(plan.reach))
+        near = F.left(F.concat(s["value"], after), F.lit(plan.reach))
+        return F.struct(near.alias("near"), F.concat(state["spans"], F.array(s.withField("after", after))).alias("spans"))
+
+    return F.reverse(walk(F.reverse(walk(found, forward)), backward))
+
+
+def _kept(text: Column, kind: str, plan: Bootstrap = PLAN) -> Column:
+    found = _in_text(find_spans(text, PATTERNS[kind], text.rlike(HINTS[kind])), plan)
     return found if kind == "email" else F.filter(found, lambda s: _counts(kind, s["value"]))
 
 
+def _trimmed(s: Column) -> Column:
+    """A token's span without the punctuation that encloses it."""
+    opens = F.regexp_extract(s["value"], OPENS, 0)
+    closes = F.regexp_extract(s["value"], CLOSES, 0)
+    size = F.length(s["value"]) - F.length(opens) - F.length(closes)
+    return F.struct(
+        (s["start"] + F.length(opens)).alias("start"),
+        (s["end"] - F.length(closes)).alias("end"),
+        F.substring(s["value"], F.length(opens) + 1, size).alias("value"),
+        F.concat(s["before"], opens).alias("before"),
+        F.concat(closes, s["after"]).alias("after"),
+    )
+
+
 def token_mentions(text: Column, plan: Bootstrap = PLAN) -> Column:
-    return _mentions(find_spans(text, TOKEN, text.rlike("[0-9@]")), None, plan)
+    found = _in_text(find_spans(text, TOKEN, text.rlike("[0-9@]")), plan)
+    return _mentions(F.transform(found, _trimmed), None, plan)
+
+
+def _apart(span: Column, base: Column) -> Column:
+    return ~F.exists(base, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
 
 
 def mentions(docs: DataFrame, plan: Bootstrap = PLAN) -> DataFrame:
-    """doc_id, key, base and tokens (arrays of mentions) for every row."""
+    """doc_id, key, base and tokens (arrays of mentions) for every row.
+
+    A token that overlaps a base span is that span, and not one of `tokens`.
+    """
     text = F.coalesce("text", F.lit(""))
-    return docs.select(
+    found = docs.select(
         "doc_id",
         row_key("doc_id", "text").alias("key"),
         base_mentions(text, plan).alias("base"),
         token_mentions(text, plan).alias("tokens"),
     )
+    return found.withColumn("tokens", F.filter("tokens", lambda t: _apart(t, F.col("base"))))
 
 
 def _edges(found: DataFrame) -> DataFrame:
@@ -216,9 +269,8 @@ def find_pii(docs: DataFrame, plan: Bootstrap = PLAN) -> DataFrame:
     extra = cut(discovered(found, plan)).withColumnRenamed("key", "of")
     place = lambda m: F.struct(m["kind"].alias("kind"), m["start"].alias("start"), m["end"].alias("end"))
     rows = found.select("doc_id", "key", F.transform("base", place).alias("base"))
-    apart = lambda x: ~F.exists("base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
     none = F.array().cast("array<struct<kind:string,start:int,end:int>>")
-    added = F.transform(F.filter("extra", apart), place)
+    added = F.transform(F.filter("extra", lambda x: _apart(x, F.col("base"))), place)
     return rows.join(extra, F.col("key") == F.col("of"), "left").select(
         "doc_id", "key", "base", F.coalesce(added, none).alias("extra")
     )

@@ -187,6 +187,25 @@ def test_bootstrapping_finds_what_no_base_pattern_knows(spark):
     assert clean[13] == other
 
 
+@pytest.mark.parametrize(
+    "kind, seed, hidden, value",
+    [
+        ("email", "write to user{i}@mail{i}.org, and wait", "write to carol7(at)mail.org, and wait", "carol7(at)mail.org"),
+        ("email", "mail (user{i}@mail{i}.org). Then wait", "mail (carol7(at)mail.org). Then wait", "carol7(at)mail.org"),
+        ("phone", "so reach me at +1 555 010 {i:04d}.", "so reach me at 555.010.7777.", "555.010.7777"),
+        ("phone", "in room 1{i} +1 555 010 {i:04d}; 3 rings", "in room 12 x 555.010.7777; 3 rings", None),
+        ("phone", "see 1{i} at +1 555 010 {i:04d}! 3 rings", "see 12 at 555.010.7777! 3 rings", "555.010.7777"),
+    ],
+)
+def test_bootstrapping_in_punctuated_sentences(spark, kind, seed, hidden, value):
+    texts = [*(seed.format(i=i) for i in range(10, 30)), hidden]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r for r in pii.find_pii(docs).collect()}
+    assert all([s["kind"] for s in found[i]["base"]] == [kind] and not found[i]["extra"] for i in range(20))
+    wanted = [] if value is None else [(kind, hidden.index(value), hidden.index(value) + len(value))]
+    assert [tuple(s) for s in found[20]["extra"]] == wanted
+
+
 def test_graph_scores_equal_a_plain_computation(spark):
     edges = {(p, i) for p in range(1, 4) for i in range(1, 12) if (p * i) % 3 or p == 1} | {(9, 50), (1, 50)}
     seeds = {(i, "phone") for i in range(1, 9)}
