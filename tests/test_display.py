@@ -3,8 +3,7 @@
 import math
 
 import pytest
-from conftest import TESTDATA
-from helpers import rows
+from helpers import TESTDATA, rows
 from pyspark.sql import functions as F
 
 from fieldtally.catalog.reports import REPORTS, VARIANTS, report_table

@@ -2,8 +2,7 @@
 
 import duckdb
 import pytest
-from conftest import TESTDATA
-from helpers import duckdb_result, spark_result
+from helpers import TESTDATA, duckdb_result, spark_result
 
 import __spark_entry__ as entry_points
 from fieldtally.catalog.registry import all_queries, all_sql

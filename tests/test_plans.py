@@ -3,8 +3,7 @@
 import re
 
 import pytest
-from conftest import TESTDATA
-from helpers import physical_plan
+from helpers import TESTDATA, physical_plan
 from pyspark.sql import functions as F
 
 import fieldtally as ft

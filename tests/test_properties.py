@@ -3,8 +3,7 @@
 import math
 
 import pytest
-from conftest import TESTDATA
-from helpers import by, spark_result
+from helpers import TESTDATA, by, spark_result
 from pyspark.sql import functions as F
 
 import fieldtally as ft
