@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldtally.llm import langid, mixing, packing, pii, similar_texts
+from fieldtally.llm import covering_simhash, langid, mixing, packing, pii
 from fieldtally.sources.shared import scratch_path
 
 
@@ -23,8 +23,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: five-word Jaccard of 0.8 or more."""
-    return similar_texts.deduplicate(docs)
+    """One document of each group stays: fingerprints of three-word shingles within two bits."""
+    return covering_simhash.deduplicate(docs)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
