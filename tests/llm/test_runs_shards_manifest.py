@@ -1,0 +1,318 @@
+"""Operators 11 to 13 against plain forms of their contracts."""
+
+import collections
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from fieldtally.llm import hash_tree as ht
+from fieldtally.llm import merkle_log as ml
+from fieldtally.llm import periodic_runs as pr
+from fieldtally.llm.queries import CORPUS_QUERIES
+
+
+def sha(text):
+    return hashlib.sha256(text if isinstance(text, bytes) else text.encode()).hexdigest()
+
+
+# Runs
+
+
+def plain_runs(words):
+    """Every period, every stretch of equal words that far apart."""
+    n, found = len(words), {}
+    for p in range(1, n // 4 + 1):
+        i = 0
+        while i + p < n:
+            j = i
+            while j + p < n and words[j] == words[j + p]:
+                j += 1
+            if j > i and j - i + p >= max(6, 4 * p):
+                found.setdefault((i, j - i + p), p)
+            i = max(j, i + 1)
+    return sorted((s, length, p) for (s, length), p in found.items())
+
+
+def plain_row(doc_id, text):
+    words = (text or "").encode("utf-8", "surrogatepass").split()
+    n = len(words)
+    if doc_id is not None and n:
+        h = zlib.crc32(str(doc_id).encode())
+        if h % 10 == 0:
+            g = h // 10
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+    runs = plain_runs(words)
+    runs = sorted(runs, key=lambda r: (r[0], r[2]))
+    gone = {i for s, length, p in runs for i in range(s + p, s + length)}
+    kept = b" ".join(w for i, w in enumerate(words) if i not in gone)
+    best = None
+    for s, length, p in runs:
+        if best is None or length * best[2] > best[1] * p:
+            best = (s, length, p)
+    lines = "".join(f"{s},{length},{p}\n" for s, length, p in runs)
+    return (
+        doc_id, len(runs), *(best or (None,) * 3), 1000 * best[1] // best[2] if best else None,
+        sha(lines), sha(kept),
+    )
+
+
+RUN_COLUMNS = ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"]
+
+
+@pytest.mark.parametrize("table", ["corpus", "odd", "empty"])
+def test_runs_of_documents(request, spark, at, table):
+    docs = request.getfixturevalue(table)
+    got = CORPUS_QUERIES["op11_periodic_runs"](spark, at(docs)).select(RUN_COLUMNS).collect()
+    wanted = [plain_row(r["doc_id"], r["text"]) for r in docs.collect()]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, wanted))
+    if table == "corpus":
+        assert sum(r["n_runs"] > 0 for r in got) > 0.05 * len(got)
+
+
+def made_text(r):
+    n = r.choice([0, 1, 5, 6, 7, 40, 120, 700])
+    words = [r.randrange(r.choice([1, 2, 3, 30, 1000])) for _ in range(n)]
+    for _ in range(r.randrange(5)):
+        if n > 8:
+            a, p = r.randrange(n), r.randint(1, max(1, n // 4))
+            for i in range(a + p, min(n, a + p * r.randint(2, 9) + r.randrange(p + 1))):
+                words[i] = words[i - p]
+    return words
+
+
+def test_runs_of_made_texts():
+    """Nested, touching and long runs; many texts in one sequence."""
+    r = random.Random(11)
+    for _ in range(40):
+        texts = [made_text(r) for _ in range(r.randint(1, 12))]
+        got = pr.find_runs([np.array(t, np.int64) for t in texts])
+        for text, runs in zip(texts, got, strict=True):
+            assert [tuple(x) for x in runs.tolist()] == plain_runs(text)
+
+
+def test_runs_over_several_query_blocks(monkeypatch):
+    monkeypatch.setattr(pr, "QUERIES", 64)
+    monkeypatch.setattr(pr, "SEQUENCE_WORDS", 500)
+    r = random.Random(5)
+    texts = [made_text(r) for _ in range(30)]
+    lines = [" ".join(f"w{x}" for x in t) for t in texts]
+    got = pr.summaries([None] * len(lines), lines, planted=True)
+    wanted = [plain_row(None, line) for line in lines]
+    assert got["n_runs"].tolist() == [w[1] for w in wanted]
+    assert got["runs_sha256"].tolist() == [w[6] for w in wanted]
+    assert got["collapsed_sha256"].tolist() == [w[7] for w in wanted]
+
+
+def test_very_long_text():
+    """300,000 words with one run of period 777, and one word throughout."""
+    r = np.random.default_rng(1)
+    words = r.integers(0, 5000, 300_000)
+    words[1000:200_000] = words[1000 + np.arange(199_000) % 777]
+    assert [1000, 199_000, 777] in pr.find_runs([words])[0].tolist()
+    assert pr.find_runs([np.zeros(300_000, np.int64)])[0].tolist() == [[0, 300_000, 1]]
+
+
+@pytest.mark.parametrize("modulus", [3, 7, 13, 31])
+def test_difference_cover(modulus):
+    cover = pr.difference_cover(modulus)
+    assert {(a - b) % modulus for a in cover for b in cover} == set(range(modulus))
+    assert len(cover) * (len(cover) - 1) + 1 == modulus
+
+
+# Shards
+
+
+@pytest.mark.parametrize("table", ["corpus", "odd", "empty"])
+def test_shards_of_documents(request, spark, at, table):
+    docs = request.getfixturevalue(table)
+    got = CORPUS_QUERIES["op12_hash_tree_shards"](spark, at(docs)).collect()
+    wanted = sorted(
+        str((r["doc_id"], len((r["text"] or "").encode()) + 1, zlib.crc32((r["text"] or "").encode())))
+        for r in docs.collect()
+    )
+    assert sorted(str((r["doc_id"], r["size"], r["text_crc32"])) for r in got) == wanted
+    slots, place = collections.defaultdict(list), {}
+    for r in got:
+        assert 0 <= r["shard"] < 16 and r["law"] == "key"
+        assert r["grown_shard"] in (r["shard"], 16)
+        assert r["region"] == f"region{r['shard'] // 8}" and r["rack"] == f"rack{r['shard'] // 4 % 2}"
+        slots[r["shard"]].append(r["slot"])
+        assert place.setdefault(r["doc_id"], (r["shard"], r["grown_shard"])) == (r["shard"], r["grown_shard"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def counts(spark, tree, n=60_000):
+    rows = spark.range(n).select("id", ht.place(F.col("id"), tree)["shard"].alias("shard"))
+    return {r["id"]: r["shard"] for r in rows.collect()}
+
+
+TREE = {
+    "a": {"x": {0: 1, 1: 3}, "y": {2: 2}},
+    "b": {"x": {3: 4}, "y": {4: 0, 5: 2}},
+}
+
+
+def test_draws_follow_the_weights(spark):
+    per = collections.Counter(counts(spark, TREE).values())
+    total = ht.weight(TREE)
+    for shard, w in {0: 1, 1: 3, 2: 2, 3: 4, 4: 0, 5: 2}.items():
+        assert abs(per[shard] - 60_000 * w / total) <= 0.05 * 60_000 * max(w, 0.01) / total
+    sixteen = collections.Counter(counts(spark, ht.SIXTEEN).values())
+    assert set(sixteen) == set(range(16)) and max(sixteen.values()) < 1.1 * min(sixteen.values())
+
+
+def test_movement_stays_in_subtrees_that_changed(spark):
+    before = counts(spark, TREE)
+    after = counts(spark, {**TREE, "b": {"x": {3: 6}, "y": {4: 0, 5: 2}}})
+    moved = {(before[i], after[i]) for i in before if before[i] != after[i]}
+    # region b and its rack x became heavier: rows come to them and go nowhere else
+    assert moved and all(new in (3, 5) and not (old == 3 and new != 3) for old, new in moved)
+    assert not any(old in (0, 1, 2) and new in (0, 1, 2) for old, new in moved)
+
+
+@pytest.mark.parametrize("tree", [ht.SIXTEEN, TREE])
+def test_one_more_shard_takes_rows_only_into_itself(spark, tree):
+    now = tree
+    for _ in range(3):
+        more = ht.grown(now)
+        new = max(ht.shards(more))
+        before, after = counts(spark, now), counts(spark, more)
+        moved = [i for i in before if before[i] != after[i]]
+        assert {after[i] for i in moved} == {new}
+        share = 60_000 / ht.weight(more)
+        assert abs(len(moved) - share) < 0.1 * share
+        now = more
+
+
+def test_slots_of_many_equal_rows(spark, monkeypatch):
+    monkeypatch.setattr(ht, "CHUNK", 64)
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("doc_id"), (F.col("id") % 2).cast("int").alias("shard")
+    )
+    got = ht.with_slots(rows.withColumn("size", F.lit(1))).collect()
+    for shard in (0, 1):
+        assert sorted(r["slot"] for r in got if r["shard"] == shard) == list(range(1500))
+
+
+def test_shards_as_files(spark, tmp_path, odd):
+    path = str(tmp_path / "shards")
+    ht.write_shards(odd, path, files=2)
+    back = spark.read.parquet(path)
+    assert back.count() == odd.count() and set(back.columns) == {*odd.columns, "shard"}
+
+
+# Manifest
+
+
+def field(value):
+    if value is None:
+        return "-"
+    text = str(value)
+    return f"{len(text.encode())}:{text}"
+
+
+def levels_of(leaves):
+    levels = [leaves]
+    while len(levels[-1]) > 1:
+        now = levels[-1]
+        levels.append([sha("".join(now[i : i + 2])) for i in range(0, len(now), 2)])
+    return levels
+
+
+def way_up(levels, i):
+    way = []
+    for level in levels[:-1]:
+        way.append((i ^ 1, level[i ^ 1]) if i ^ 1 < len(level) else None)
+        i //= 2
+    return way
+
+
+def plain_manifest(rows):
+    trees = collections.defaultdict(list)
+    for r in rows:
+        leaf = sha("".join(field(r[f]) for f in ml.FIELDS))
+        changed = leaf
+        if r["doc_id"] is not None and r["n_chars"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 7 == 0:
+            changed = sha("".join(field(r[f] + 1 if f == "n_chars" else r[f]) for f in ml.FIELDS))
+        trees[r["lang"]].append((r["doc_id"], leaf, changed))
+    def first_missing(x):
+        return (x is not None, x.encode() if isinstance(x, str) else x or 0)
+
+    langs = sorted(trees, key=first_missing)
+    for rows_ in trees.values():
+        rows_.sort(key=lambda x: (first_missing(x[0]), x[1]))
+    built = {lang: levels_of([x[1] for x in trees[lang]]) for lang in langs}
+    top = levels_of([built[lang][-1][0] for lang in langs]) if langs else []
+    out = []
+    for k, lang in enumerate(langs):
+        for i, (doc_id, leaf, changed) in enumerate(trees[lang]):
+            way, now, places = [*way_up(built[lang], i), *way_up(top, k)], changed, []
+            at = [i >> s for s in range(len(built[lang]) - 1)] + [k >> s for s in range(len(top) - 1)]
+            for step, place in zip(way, at, strict=True):
+                if step is None:
+                    now = sha(now)
+                else:
+                    places.append(step[1])
+                    now = sha(step[1] + now) if step[0] < place else sha(now + step[1])
+            root = top[-1][0]
+            out.append((doc_id, leaf, built[lang][-1][0], root, sha("".join(places)), now, now == root))
+    return out
+
+
+@pytest.mark.parametrize("bits", [10, 2])
+@pytest.mark.parametrize("table", ["corpus", "odd", "empty"])
+def test_manifest_of_documents(request, spark, at, table, bits):
+    docs = request.getfixturevalue(table)
+    folder = at(docs)
+    columns = ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
+    if bits == 10:
+        got = CORPUS_QUERIES["op13_merkle_log"](spark, folder)
+    else:  # several tiers
+        got = ml.proofs(spark.read.parquet(f"{folder}/documents.parquet"), bits)
+    wanted = plain_manifest([r.asDict() for r in docs.collect()])
+    assert sorted(map(str, map(tuple, got.select(columns).collect()))) == sorted(map(str, wanted))
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 8, 13, 31, 32, 33, 100])
+def test_places_are_the_order_of_completion(n):
+    """Leaves are appended one by one; whatever completes follows at once."""
+    leaves = [sha(str(i)) for i in range(n)]
+    levels = levels_of(leaves)
+    order = []
+    for e in range(n):
+        order += [(level, e >> level) for level in range(len(levels)) if (e + 1) % (1 << level) == 0]
+    order += [(level, n >> level) for level in range(len(levels)) if n % (1 << level)]
+    assert [ml.place(level, i, n) for level, i in order] == list(range(sum(map(len, levels))))
+    log = ml.build(leaves, False, 7)
+    assert log == [levels[level][i] for level, i in order]
+
+
+@pytest.mark.parametrize("n", [1, 3, 16, 21, 300])
+def test_builders_fill_the_log_without_gaps(spark, n):
+    rows = spark.range(n).select(
+        F.lit("t").alias("tree"), F.col("id").alias("rank"), F.lit(n).cast("long").alias("n"),
+        F.sha2(F.col("id").cast("string"), 256).alias("leaf"), F.lit(None).cast("string").alias("own"),
+    )
+    log = sorted((r["position"], r["digest"]) for r in ml.log_rows(ml.tiers(rows, 2), 2).collect())
+    assert log == list(enumerate(ml.build([sha(str(i)) for i in range(n)], False, 20)))
+
+
+def test_numbers_are_gapless_where_one_tree_holds_most_rows(spark):
+    rows = spark.range(5000).select(
+        F.when(F.col("id") % 10 < 8, None).otherwise(F.concat(F.lit("t"), F.col("id") % 3)).alias("tree"),
+        (F.col("id") % 4).alias("x"),
+    )
+    got = ml.numbered(rows, "tree", ["x"]).collect()
+    per = collections.defaultdict(list)
+    for r in got:
+        per[r["tree"]].append((r["__rank"], r["x"], r["__n"]))
+    for found in per.values():
+        found.sort()
+        assert [f[0] for f in found] == list(range(len(found))) and {f[2] for f in found} == {len(found)}
+        assert [f[1] for f in found] == sorted(f[1] for f in found)
