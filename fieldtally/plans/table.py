@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +16,8 @@ from fieldtally.plans.layouts import AVERAGE, COUNT, LAYOUTS, SHARE
 
 MISSING_MARK = "---"
 
+MANIFEST_SCHEMA = "number long, version string, report string"
+
 DICTIONARY_SCHEMA = T.StructType(
     [
         T.StructField("report", T.StringType(), False),
@@ -102,11 +106,49 @@ class MonitoringTable:
         )
         return self.stats.select(self.group_var, F.inline(cells))
 
-    def write(self, path: str, mode: str = "error") -> None:
-        """Store numbers and dictionary as parquet next to each other."""
-        # The dictionary first: it costs nothing, and a path in use fails at once.
-        self.dictionary().coalesce(1).write.mode(mode).parquet(f"{path}/dictionary")
-        self.stats.write.mode(mode).parquet(f"{path}/stats")
+    def write(self, path: str, mode: str = "error") -> str:
+        """Store numbers and dictionary as one version of a report; returns its folder.
+
+        Both are written below ``path/versions`` first. Only then one line is appended
+        to ``path/manifest``, which ``read_report`` follows, so readers see the whole
+        new report or the former one. A write that fails leaves a folder that nothing
+        refers to. ``mode`` is "error", which refuses a path that holds a report, or
+        "overwrite".
+        """
+        if mode not in ("error", "overwrite"):
+            raise ValueError(f"unknown mode {mode!r}, expected 'error' or 'overwrite'")
+        spark = self.stats.sparkSession
+        former = _newest(spark, path)
+        if former is not None and mode == "error":
+            raise FileExistsError(f"{path} already holds a report")
+        version = uuid.uuid4().hex
+        folder = f"{path}/versions/{version}"
+        self.dictionary().coalesce(1).write.parquet(f"{folder}/dictionary")
+        self.stats.write.parquet(f"{folder}/stats")
+        number = 0 if former is None else former["number"] + 1
+        entry = spark.createDataFrame([(number, version, self.report)], MANIFEST_SCHEMA)
+        entry.coalesce(1).write.mode("append").json(f"{path}/manifest")
+        return folder
+
+
+def _newest(spark: SparkSession, path: str) -> Row | None:
+    """The manifest's last line; of equal numbers, written at the same time, one wins."""
+    try:
+        manifest = spark.read.schema(MANIFEST_SCHEMA).json(f"{path}/manifest")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return manifest.orderBy(F.desc("number"), F.desc("version")).first()
+
+
+def read_report(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Numbers and dictionary of the newest complete report below ``path``."""
+    entry = _newest(spark, path)
+    if entry is None:
+        raise FileNotFoundError(f"no report in {path}")
+    folder = f"{path}/versions/{entry['version']}"
+    return spark.read.parquet(f"{folder}/stats"), spark.read.parquet(f"{folder}/dictionary")
 
 
 def monitoring_table(
