@@ -8,6 +8,7 @@ DataFrame with one row per group.
 
 from fieldtally.functions.labels import with_value_labels
 from fieldtally.operators.joins import restrict_to_cases
+from fieldtally.operators.rollup import declare_unique
 from fieldtally.plans.post_harvest import (
     anim_prod_sales,
     cow_displacement,
@@ -33,9 +34,11 @@ from fieldtally.plans.post_planting import (
     plot_use,
     plots_per_parcel,
 )
-from fieldtally.plans.table import MonitoringTable
+from fieldtally.plans.table import MonitoringTable, read_report
+from fieldtally.sources.exports import read_export
 from fieldtally.sources.frames import (
     assert_cases,
+    assert_unique,
     check_cases,
     load_frame,
     normalize_missing,
@@ -46,11 +49,13 @@ __all__ = [
     "MonitoringTable",
     "anim_prod_sales",
     "assert_cases",
+    "assert_unique",
     "check_cases",
     "cow_displacement",
     "crop_labor",
     "crop_types",
     "crops_per_plot",
+    "declare_unique",
     "hen_displacement",
     "income_sources",
     "livestock_labor_tbl",
@@ -68,6 +73,8 @@ __all__ = [
     "plots_per_parcel",
     "process_crop_prod",
     "questionnaire_labels",
+    "read_export",
+    "read_report",
     "restrict_to_cases",
     "sector_labor",
     "temp_crop_harvest",

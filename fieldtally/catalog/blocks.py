@@ -45,10 +45,12 @@ from fieldtally.operators.rollup import (
     stack,
     sum_by_group,
     tally,
+    tally_codes,
 )
-from fieldtally.plans.table import format_cell
+from fieldtally.plans.table import format_cell, read_report
+from fieldtally.sources.exports import read_export
 from fieldtally.sources.frames import check_cases, load_frame, normalize_missing
-from fieldtally.sources.questionnaire import questionnaire_labels
+from fieldtally.sources.questionnaire import questionnaire_labels, questions
 from fieldtally.sources.shared import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -493,6 +495,32 @@ def option_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tally(cases, plots, "team", option_counts(plots, "plot_use"))
 
 
+_MANY = 1000
+_ITEMS = """SELECT concat('C', CAST(o_custkey AS STRING)) AS interview__id,
+      CASE WHEN l_partkey % 77 = 0 THEN NULL ELSE CAST(l_partkey % 1100 AS INT) END AS item
+    FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey"""
+
+
+@_block(
+    "option_pivot_many",
+    survey_cte("cases")
+    + f", items AS ({_ITEMS.format(lineitem='lineitem', orders='orders')})\n"
+    + "SELECT team, COUNT(*) AS n_items, "
+    + ", ".join(
+        f"CAST(SUM(CASE WHEN item = {v} THEN 1 ELSE 0 END) AS BIGINT) AS item__{v}"
+        for v in range(_MANY)
+    )
+    + " FROM cases LEFT JOIN items ON cases.interview__id = items.interview__id GROUP BY team",
+)
+def option_pivot_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts per code as columns for a question with a thousand options."""
+    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("lineitem", "orders")}
+    items = spark.sql(_ITEMS, **tables)
+    names = {v: f"item__{v}" for v in range(_MANY)}
+    cases = survey_frame(spark, sf_dir, "cases")
+    return tally_codes(cases, items, "team", F.col("item"), names, rows="n_items")
+
+
 @_block(
     "derived_flags",
     survey_cte("hhold")
@@ -721,6 +749,111 @@ def part_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return questionnaire_labels(spark, _written_questions(spark, answers, "multi-select"))
 
 
+#: Cells of an exported line; some lines have a cell too many or too few.
+_EXPORT_CELLS = """SELECT o_orderkey AS key, concat('C', CAST(o_custkey AS STRING)) AS id,
+      CASE WHEN o_orderkey % 13 = 0 THEN '.a' WHEN o_orderkey % 11 = 0 THEN '.'
+           WHEN o_orderkey % 7 = 0 THEN ' .z' WHEN o_orderkey % 5 = 0 THEN ''
+           WHEN o_orderkey % 37 = 0 THEN 'about 2' ELSE concat(CAST(o_custkey AS STRING), '.5') END AS area,
+      CASE WHEN o_orderkey % 41 = 0 THEN concat(o_orderpriority, '{tab}', 'more')
+           ELSE o_orderpriority END AS note
+    FROM {orders}"""
+_EXPORT_LINES = f"""SELECT key, id, area, note, CASE WHEN key % 43 = 0 THEN id
+      ELSE concat(id, '{{tab}}', CAST(key AS STRING), '{{tab}}', area, '{{tab}}', note) END AS line
+    FROM ({_EXPORT_CELLS}) c"""
+
+
+def _export_sql() -> str:
+    lines = _EXPORT_LINES.replace("{tab}", "\t").format(orders="orders")
+    return f"""WITH lines AS ({lines}), judged AS (
+      SELECT *, CASE WHEN key % 41 = 0 OR key % 43 = 0 THEN 'the line does not have 4 cells'
+        WHEN area = 'about 2' THEN 'area is no double: about 2' END AS reason FROM lines)
+    SELECT id AS interview__id, key AS parcel_id, TRY_CAST(area AS DOUBLE) AS area,
+      CASE WHEN area LIKE '%.a' THEN 'a' WHEN area LIKE '%.z' THEN 'z' ELSE '-' END AS tag,
+      note, '-' AS line, '-' AS reason FROM judged WHERE reason IS NULL
+    UNION ALL
+    SELECT '-', -1, NULL, '-', '-', line, reason FROM judged WHERE reason IS NOT NULL"""
+
+
+@_block("read_export", _export_sql())
+def read_written_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tab-separated export with missing codes and broken lines, written and read."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    lines = spark.sql(_EXPORT_LINES.replace("{tab}", "\t"), orders=orders)
+    path = scratch_path(spark)
+    # one cell per line, its name the header line that each file starts with
+    header = "\t".join(("interview__id", "parcel_id", "area", "note"))
+    lines.select(F.col("line").alias(header)).write.csv(path, sep="\x01", header=True)
+    schema = "interview__id string, parcel_id bigint, area double, note string"
+    export = read_export(spark, path, schema)
+    columns = ["interview__id", "parcel_id", "area", "tag", "note", "line", "reason"]
+    rows = export.rows.withColumnRenamed("natag__area", "tag").drop("natag__parcel_id")
+    both = rows.unionByName(export.rejected, allowMissingColumns=True).select(columns)
+    text = {c: "-" for c in ("interview__id", "tag", "note", "line", "reason")}
+    return both.fillna({**text, "parcel_id": -1})
+
+
+@_block(
+    "questionnaire_document",
+    """SELECT concat('Questionnaire ', CAST(p_partkey // 100 AS STRING)) AS document,
+      concat('Section ', CAST(p_size % 3 AS STRING), '/', p_brand) AS sections,
+      replace(lower(p_brand), '#', '_') AS rosters,
+      concat('item_', CAST(p_partkey AS STRING)) AS variable, p_name AS text,
+      CAST(value AS INTEGER) AS value, label
+    FROM part, LATERAL (SELECT p_size AS value, p_brand AS label
+      UNION ALL SELECT -98, concat(p_type, ' "other"')) a""",
+)
+def questionnaire_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answer labels read from nested questionnaire documents, three levels deep."""
+    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+
+    def answer(value: Column, label: Column) -> Column:
+        return F.struct(value.cast("string").alias("AnswerValue"), label.alias("AnswerText"))
+
+    question = F.struct(
+        F.lit("MultyOptionsQuestion").alias("$type"),
+        F.concat(F.lit("item_"), F.col("p_partkey").cast("string")).alias("VariableName"),
+        F.col("p_name").alias("QuestionText"),
+        F.array(
+            answer(F.col("p_size"), F.col("p_brand")),
+            answer(F.lit(-98), F.concat("p_type", F.lit(' "other"'))),
+        ).alias("Answers"),
+    )
+
+    def group(title: Column, roster: bool, name: Column) -> Column:
+        return F.struct(
+            F.lit("Group").alias("$type"),
+            title.alias("Title"),
+            F.lit(roster).alias("IsRoster"),
+            name.alias("VariableName"),
+            F.col("children").alias("Children"),
+        )
+
+    # a document has a hundred questions
+    number = F.floor(F.col("p_partkey") / 100).alias("number")
+    section = F.concat(F.lit("Section "), (F.col("p_size") % 3).cast("string")).alias("section")
+    rosters = part.groupBy(number, section, "p_brand").agg(F.collect_list(question).alias("children"))
+    name = F.replace(F.lower("p_brand"), F.lit("#"), F.lit("_"))
+    sections = rosters.groupBy("number", "section").agg(
+        F.collect_list(group(F.col("p_brand"), True, name)).alias("children")
+    )
+    documents = sections.groupBy("number").agg(
+        F.collect_list(group(F.col("section"), False, F.lit(""))).alias("children")
+    )
+    title = F.concat(F.lit("Questionnaire "), F.col("number").cast("string"))
+    whole = F.struct(title.alias("Title"), F.col("children").alias("Children"))
+    path = scratch_path(spark)
+    documents.select(F.to_json(whole)).write.text(path)
+    found = questions(spark, path, "documents")
+    return found.select(
+        "document",
+        F.array_join("sections", "/").alias("sections"),
+        F.array_join("rosters", "/").alias("rosters"),
+        "variable",
+        "text",
+        F.inline("answers"),
+    )
+
+
 # Display
 
 
@@ -896,9 +1029,8 @@ def temp_crop_harvest_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def write_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A report written as parquet; its numbers and its dictionary read back."""
+    """A report written over a former one; its numbers and its dictionary read back."""
     path = scratch_path(spark)
-    report_table(spark, sf_dir, "crop_types", "enumerator").write(path)
-    return _cells(
-        load_frame(spark, f"{path}/stats"), load_frame(spark, f"{path}/dictionary"), "enumerator"
-    )
+    report_table(spark, sf_dir, "crop_types", "team").write(path)
+    report_table(spark, sf_dir, "crop_types", "enumerator").write(path, "overwrite")
+    return _cells(*read_report(spark, path), "enumerator")

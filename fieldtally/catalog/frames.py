@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from fieldtally.functions.labels import with_value_labels
+from fieldtally.operators.rollup import declare_unique
 
 TABLES = ("customer", "supplier", "orders", "lineitem", "events", "part")
 
@@ -174,6 +175,9 @@ FRAMES: dict[str, str] = {
     "anim_labor": ANIM_LABOR,
 }
 
+#: One row per customer, so one per interview.
+ONE_ROW_PER_INTERVIEW = {"hhold"}
+
 _REASONS = [(code, f"Reason {code}") for code in range(1, 6)]
 _WHY_NO_GPS = [*_REASONS, (6, "Never used"), (-98, "Don't know")]
 _PLOT_USE = [(1, "Crops"), (2, "Pasture"), (3, "Fallow"), (4, "Forest")]
@@ -197,7 +201,7 @@ def survey_frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     for (frame, variable), labels in LABELS.items():
         if frame == name:
             df = with_value_labels(df, variable, labels)
-    return df
+    return declare_unique(df) if name in ONE_ROW_PER_INTERVIEW else df
 
 
 def survey_cte(*names: str) -> str:

@@ -14,6 +14,10 @@ per interview and only then joined:
 
 A left join must keep cases without roster rows, where the plain join would
 show one all-NULL row.  ``attach`` fills in what that row would have added.
+
+A roster with one row per interview has nothing to roll up.  ``declare_unique``
+says so, and ``tally_rows`` then joins its rows as they are.  Sums come out the
+same either way, so a wrong declaration costs time and never changes a result.
 """
 
 from __future__ import annotations
@@ -27,6 +31,9 @@ from pyspark.sql import functions as F
 #: Key shared by the cases and all rosters.
 CASE_KEY = "interview__id"
 
+#: Mark in the metadata of the key column: one row per interview.
+UNIQUE = "one_row_per_interview"
+
 
 def stack(*parts: tuple[DataFrame, Mapping[str, Column]]) -> DataFrame:
     """Put row-level measures of several rosters into one long frame.
@@ -55,6 +62,21 @@ def roll_up(frame: DataFrame, measures: Mapping[str, Column]) -> DataFrame:
     )
 
 
+def declare_unique(frame: DataFrame) -> DataFrame:
+    """The same frame, declared to hold at most one row per interview.
+
+    The mark is part of the schema and survives ``filter``, ``select`` and parquet.
+    ``sources.frames.assert_unique`` declares it too and lets the job fail where it
+    does not hold.
+    """
+    known = frame.schema[CASE_KEY].metadata
+    return frame.withMetadata(CASE_KEY, {**known, UNIQUE: True})
+
+
+def declared_unique(frame: DataFrame) -> bool:
+    return bool(frame.schema[CASE_KEY].metadata.get(UNIQUE))
+
+
 def attach(
     cases: DataFrame,
     rolled: DataFrame,
@@ -116,3 +138,74 @@ def tally(
     rolled = roll_up(roster, measures)
     joined = attach(cases, rolled, group_var, unmatched, keep_unmatched)
     return sum_by_group(joined, group_var, {m: F.sum(m) for m in measures})
+
+
+def tally_rows(
+    cases: DataFrame,
+    roster: DataFrame,
+    group_var: str,
+    measures: Mapping[str, Column],
+    unmatched: Mapping[str, int] | None = None,
+) -> DataFrame:
+    """Group sums of what each roster row adds.
+
+    ``measures`` are numbers per row, never NULL.  The rows of a roster that is
+    declared unique go to the join without an aggregate; any other roster is rolled
+    up per interview first.
+    """
+    if declared_unique(roster):
+        rolled = roster.select(
+            CASE_KEY, *(expr.alias(name) for name, expr in measures.items())
+        )
+    else:
+        rolled = roll_up(roster, {name: F.sum(expr) for name, expr in measures.items()})
+    joined = attach(cases, rolled, group_var, unmatched)
+    return sum_by_group(joined, group_var, {m: F.sum(m) for m in measures})
+
+
+def tally_codes(
+    cases: DataFrame,
+    roster: DataFrame,
+    group_var: str,
+    code: Column,
+    names: Mapping[int, str],
+    rows: str | None = None,
+) -> DataFrame:
+    """Group counts of each listed code as columns, from counts in long form.
+
+    For questions with very many options: rows are counted per interview and code,
+    the counts summed per group and code, and only that small frame becomes wide.
+    ``names`` gives the column of each code.  ``rows``, if given, names a column with
+    the number of rows, where a case without roster rows counts as one.
+    """
+    # codes are whole numbers, however they are stored
+    whole = F.when(code == code.cast("long"), code.cast("long"))
+    counted = roster.groupBy(CASE_KEY, whole.alias("__code")).agg(
+        F.count(F.lit(1)).alias("__n")
+    )
+    kept = list(dict.fromkeys((CASE_KEY, group_var)))
+    joined = cases.select(*kept).join(counted, CASE_KEY, "left")
+    sums = joined.groupBy(group_var, "__code").agg(
+        F.sum("__n").alias("__n"), F.sum(padded(F.col("__n"))).alias("__rows")
+    )
+    cells = F.array(
+        F.struct(F.lit("rows").alias("__cell"), F.col("__rows").alias("__value")),
+        F.struct(
+            F.col("__code").cast("string").alias("__cell"), F.col("__n").alias("__value")
+        ),
+    )
+    wide = (
+        sums.select(group_var, F.inline(cells))
+        .groupBy(group_var)
+        .pivot("__cell", ["rows", *map(str, names)])
+        .agg(F.sum("__value"))
+    )
+    total = [] if rows is None else [F.col("rows").alias(rows)]
+    return wide.select(
+        group_var,
+        *total,
+        *(
+            F.coalesce(F.col(f"`{value}`"), F.lit(0)).alias(name)
+            for value, name in names.items()
+        ),
+    )

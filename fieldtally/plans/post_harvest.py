@@ -37,6 +37,7 @@ from fieldtally.operators.rollup import (
     stack,
     sum_by_group,
     tally,
+    tally_rows,
 )
 from fieldtally.plans.table import MonitoringTable, monitoring_table
 from fieldtally.sources.questionnaire import option_labels
@@ -245,15 +246,11 @@ def livestock_ownership(
 ) -> MonitoringTable:
     """Households, livestock owners, and types of livestock per owner."""
     animals = row_total(_stored(hhold_df, option_columns(hhold_df, animal_var)))
-    sums = tally(
+    sums = tally_rows(
         cases,
         hhold_df,
         group_var,
-        {
-            "n_hholds": F.count(F.lit(1)),
-            "n_animals": total(animals),
-            "owns_animals": F.count_if(animals > 0),
-        },
+        {"n_hholds": F.lit(1), "n_animals": animals, "owns_animals": flag(animals > 0)},
         unmatched={"n_hholds": 1},
     )
     stats = sums.select(
@@ -276,15 +273,15 @@ def _option_mix(
 ) -> MonitoringTable:
     """Owners of any of the options and the mix of options among them."""
     names = [option_column(question, code) for code in options.values()]
-    sums = tally(
+    sums = tally_rows(
         cases,
         hhold_df,
         group_var,
         {
-            owners: F.count_if(any_option(hhold_df, question, options.values())),
-            "n_types": total(row_total(_stored(hhold_df, names))),
+            owners: flag(any_option(hhold_df, question, options.values())),
+            "n_types": row_total(_stored(hhold_df, names)),
             **{
-                name: F.count_if(option_selected(hhold_df, question, code))
+                name: flag(option_selected(hhold_df, question, code))
                 for name, code in options.items()
             },
         },
@@ -713,17 +710,17 @@ def sector_labor(
     hhold = any_option(hhold_df, labor_var, hhold_labor_vals)
     free = option_selected(hhold_df, labor_var, free_labor_val)
     paid = option_selected(hhold_df, labor_var, paid_labor_val)
-    sums = tally(
+    sums = tally_rows(
         cases,
         hhold_df,
         group_var,
         {
-            "produce": F.count_if(coded(hhold_df, produce_var) == produce_val),
-            "hhold_only": F.count_if(hhold & ~free & ~paid),
-            "external_only": F.count_if(~hhold & (free | paid)),
-            "hhold_labor": F.count_if(hhold),
-            "paid_labor": F.count_if(paid),
-            "free_labor": F.count_if(free),
+            "produce": flag(coded(hhold_df, produce_var) == produce_val),
+            "hhold_only": flag(hhold & ~free & ~paid),
+            "external_only": flag(~hhold & (free | paid)),
+            "hhold_labor": flag(hhold),
+            "paid_labor": flag(paid),
+            "free_labor": flag(free),
         },
     )
     stats = sums.select(

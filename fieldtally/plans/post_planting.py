@@ -12,10 +12,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldtally.functions.labels import heading, value_labels
+from fieldtally.functions.labels import heading, label_values, value_labels
 from fieldtally.functions.options import any_option, option_column, option_counts
 from fieldtally.functions.semantics import coded, is_tagged, safe_ratio
-from fieldtally.operators.rollup import CASE_KEY, attach, roll_up, sum_by_group, tally
+from fieldtally.operators.rollup import (
+    CASE_KEY,
+    attach,
+    roll_up,
+    sum_by_group,
+    tally,
+    tally_codes,
+)
 from fieldtally.plans.table import MonitoringTable, monitoring_table
 from fieldtally.sources.frames import EXPORT_NUMERIC_MISSING
 
@@ -24,6 +31,10 @@ AREA_NOT_MEASURED = -9999
 TEMPORARY_CROP = 1
 PERMANENT_CROP = 2
 
+#: Questions with more options are counted in long form, which is faster from about
+#: eighty options on; the plan changes, not the result.
+MANY_OPTIONS = 80
+
 
 def parcels_per_hhold(
     parcel_df: DataFrame,
@@ -163,13 +174,18 @@ def plot_use(
 ) -> MonitoringTable:
     """Share of plots by labelled use."""
     uses = option_counts(plot_df, plot_use_var)
-    sums = tally(
-        cases,
-        plot_df,
-        group_var,
-        {"plots": F.count(F.lit(1)), **uses},
-        unmatched={"plots": 1},
-    )
+    if len(uses) > MANY_OPTIONS:
+        names = dict(zip(label_values(plot_df, plot_use_var), uses, strict=True))
+        use = coded(plot_df, plot_use_var)
+        sums = tally_codes(cases, plot_df, group_var, use, names, rows="plots")
+    else:
+        sums = tally(
+            cases,
+            plot_df,
+            group_var,
+            {"plots": F.count(F.lit(1)), **uses},
+            unmatched={"plots": 1},
+        )
     stats = sums.select(group_var, "plots", *_shares_of(list(uses), "plots"))
     return monitoring_table(
         "plot_use", group_var, stats, _code_headings(plot_df, plot_use_var)

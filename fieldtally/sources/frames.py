@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldtally.functions.semantics import TAG_PREFIX
-from fieldtally.operators.rollup import CASE_KEY
+from fieldtally.operators.rollup import CASE_KEY, declare_unique
 
 # The survey software's numeric missing code and its default tag.
 EXPORT_NUMERIC_MISSING = -999999999
@@ -60,21 +60,45 @@ def check_cases(cases: DataFrame, group_var: str) -> DataFrame:
     )
 
 
+def _holds_ids_once(frame: DataFrame, what: str) -> Column:
+    """Condition that is true, or an error, for the whole frame.
+
+    Ids are counted with a map-side combine, so an id that holds many rows costs no
+    task more than another, and what comes of it is one value, a scalar subquery of
+    the query that reads the frame. Nothing runs when this is called.
+    """
+    key = F.col(CASE_KEY)
+    problem = F.when(key.isNull(), F.lit(f"{what} has no interview id")).when(
+        F.col("__rows") > 1, F.concat(F.lit("repeated interview id: "), key.cast("string"))
+    )
+    found = (
+        frame.groupBy(CASE_KEY)
+        .agg(F.count(F.lit(1)).alias("__rows"))
+        .where(key.isNull() | (F.col("__rows") > 1))
+        .agg(F.min(problem).alias("__problem"))
+    )
+    error = F.raise_error(F.col("__problem")).cast("boolean")
+    return found.select(F.when(F.col("__problem").isNull(), True).otherwise(error)).scalar()
+
+
 def assert_cases(cases: DataFrame, group_var: str) -> DataFrame:
     """The same cases; the job that reads them fails on missing or repeated ids.
 
-    Nothing runs when this is called. The ids are grouped by the key that reports
-    join on; pass the result to a report in place of the cases.
+    Pass the result to a report in place of the cases.
     """
     absent = [c for c in (CASE_KEY, group_var) if c not in cases.columns]
     if absent:
         raise ValueError(f"cases frame lacks columns {absent}")
-    rows = F.count(F.lit(1)).over(Window.partitionBy(CASE_KEY))
-    problem = F.when(F.col(CASE_KEY).isNull(), F.lit("a case has no interview id")).when(
-        F.col("__rows") > 1, F.concat(F.lit("repeated interview id: "), CASE_KEY)
-    )
-    fine = F.when(problem.isNull(), True).otherwise(F.raise_error(problem).cast("boolean"))
-    return cases.withColumn("__rows", rows).where(fine).drop("__rows")
+    return cases.where(_holds_ids_once(cases, "a case"))
+
+
+def assert_unique(roster: DataFrame) -> DataFrame:
+    """The same roster, declared to hold one row per interview.
+
+    The job that reads it fails on a missing or repeated id. ``declare_unique``
+    makes the same declaration without the check.
+    """
+    return declare_unique(roster.where(_holds_ids_once(roster, "a row")))
 
 
 def normalize_missing(
