@@ -21,13 +21,26 @@ own spans; an empty table gives an empty result; other columns pass through
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldtally.llm.basics import cut, row_key, table
-from fieldtally.llm.spans import SPAN, digest, find_spans, label
+from fieldtally.llm.spans import (
+    CHUNK,
+    SPAN,
+    Combine,
+    apart,
+    before_each,
+    chunks,
+    digest,
+    find_spans,
+    label,
+    larger,
+    let,
+)
 
 
 @dataclass(frozen=True)
@@ -132,25 +145,59 @@ def base_mentions(text: Column, plan: Bootstrap = PLAN) -> Column:
 
 
 def _in_text(found: Column, plan: Bootstrap) -> Column:
-    """`found` with `before` and `after` reaching over neighbouring matches."""
-    none = F.lit("")
-    spans = F.array().cast(SPAN)
+    """`found` with `before` and `after` reaching over neighbouring matches.
+
+    A match has a code point at least, so a chunk of `reach` matches spans all that the
+    next chunk looks back at.
+    """
+    reach, none = F.lit(plan.reach), F.lit("")
+    size = max(CHUNK, plan.reach)
+
+    def joined(pieces: Column) -> Column:
+        return F.array_join(pieces, "")
+
+    def forward(part: Column, near: Column) -> Column:
+        def step(state: Column, s: Column) -> Column:
+            before = F.right(F.concat(state["near"], s["before"]), reach)
+            spans = F.concat(state["spans"], F.array(s.withField("before", before)))
+            return F.struct(F.right(F.concat(before, s["value"]), reach).alias("near"), spans.alias("spans"))
 
-    def walk(found: Column, add) -> Column:
-        start = F.struct(none.alias("near"), spans.alias("spans"))
-        return F.aggregate(found, start, add, lambda s: s["spans"])
+        return _walk(part, near, step)
 
-    def forward(state: Column, s: Column) -> Column:
-        before = F.right(F.concat(state["near"], s["before"]), F.lit(plan.reach))
-        near = F.right(F.concat(before, s["value"]), F.lit(plan.reach))
-        return F.struct(near.alias("near"), F.concat(state["spans"], F.array(s.withField("before", before))).alias("spans"))
+    def backward(part: Column, near: Column) -> Column:
+        """`part` from its end to its start."""
 
-    def backward(state: Column, s: Column) -> Column:
-        after = F.left(F.concat(s["after"], state["near"]), F.lit(plan.reach))
-        near = F.left(F.concat(s["value"], after), F.lit(plan.reach))
-        return F.struct(near.alias("near"), F.concat(state["spans"], F.array(s.withField("after", after))).alias("spans"))
+        def step(state: Column, s: Column) -> Column:
+            after = F.left(F.concat(s["after"], state["near"]), reach)
+            spans = F.concat(state["spans"], F.array(s.withField("after", after)))
+            return F.struct(F.left(F.concat(s["value"], after), reach).alias("near"), spans.alias("spans"))
 
-    return F.reverse(walk(F.reverse(walk(found, forward)), backward))
+        return _walk(part, near, step)
+
+    def tail(part: Column) -> Column:
+        return F.right(joined(F.transform(part, lambda s: F.right(F.concat(s["before"], s["value"]), reach))), reach)
+
+    def head(part: Column) -> Column:
+        """The text from the first match of a reversed chunk on."""
+        pieces = F.transform(F.reverse(part), lambda s: F.left(F.concat(s["value"], s["after"]), reach))
+        return F.left(joined(pieces), reach)
+
+    def over(ends: Callable[[Column], Column], walk: Combine) -> Callable[[Column], Column]:
+        def chunked(parts: Column) -> Column:
+            near = F.concat(F.array(none), F.transform(parts, ends))
+            return F.flatten(F.zip_with(parts, F.slice(near, 1, F.size(parts)), walk))
+
+        return chunked
+
+    ahead = let(chunks(found, size), over(tail, forward))
+    return let(
+        F.reverse(ahead), lambda back: F.reverse(let(chunks(back, size), over(head, backward)))
+    )
+
+
+def _walk(part: Column, near: Column, step: Combine) -> Column:
+    start = F.struct(near.alias("near"), F.array().cast(SPAN).alias("spans"))
+    return F.aggregate(part, start, step, lambda s: s["spans"])
 
 
 def _kept(text: Column, kind: str, plan: Bootstrap = PLAN) -> Column:
@@ -177,10 +224,6 @@ def token_mentions(text: Column, plan: Bootstrap = PLAN) -> Column:
     return _mentions(F.transform(found, _trimmed), None, plan)
 
 
-def _apart(span: Column, base: Column) -> Column:
-    return ~F.exists(base, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
-
-
 def mentions(docs: DataFrame, plan: Bootstrap = PLAN) -> DataFrame:
     """doc_id, key, base and tokens (arrays of mentions) for every row.
 
@@ -193,7 +236,7 @@ def mentions(docs: DataFrame, plan: Bootstrap = PLAN) -> DataFrame:
         base_mentions(text, plan).alias("base"),
         token_mentions(text, plan).alias("tokens"),
     )
-    return found.withColumn("tokens", F.filter("tokens", lambda t: _apart(t, F.col("base"))))
+    return found.withColumn("tokens", apart(F.col("tokens"), F.col("base")))
 
 
 def _edges(found: DataFrame) -> DataFrame:
@@ -270,7 +313,7 @@ def find_pii(docs: DataFrame, plan: Bootstrap = PLAN) -> DataFrame:
     place = lambda m: F.struct(m["kind"].alias("kind"), m["start"].alias("start"), m["end"].alias("end"))
     rows = found.select("doc_id", "key", F.transform("base", place).alias("base"))
     none = F.array().cast("array<struct<kind:string,start:int,end:int>>")
-    added = F.transform(F.filter("extra", lambda x: _apart(x, F.col("base"))), place)
+    added = F.transform(apart(F.col("extra"), F.col("base")), place)
     return rows.join(extra, F.col("key") == F.col("of"), "left").select(
         "doc_id", "key", "base", F.coalesce(added, none).alias("extra")
     )
@@ -301,6 +344,83 @@ def op2_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _merged(spans: Column) -> Column:
+    """Overlapping spans as one, of the kind that starts first, in order."""
+
+    def over(order: Column) -> Column:
+        # a span that begins before an earlier one ends is part of that one
+        reaches = before_each(F.transform(order, lambda s: s["end"]), larger)
+        begun = F.filter(
+            F.zip_with(order, reaches, lambda s, r: F.struct(s["start"], r.alias("reach"), s["kind"])),
+            lambda s: s["start"] >= s["reach"],
+        )
+        last = F.array_max(F.transform(order, lambda s: s["end"]))
+
+        def closed(first: Column) -> Column:
+            return F.transform(
+                first,
+                lambda s, i: F.struct(
+                    s["start"].alias("start"),
+                    F.coalesce(F.get(first, i + 1)["reach"], last).alias("end"),
+                    s["kind"].alias("kind"),
+                ),
+            )
+
+        return let(begun, closed)
+
+    order = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"], s["end"], s["kind"])))
+    return let(order, over)
+
+
+def _blanked(text: Column, begin: Column, spans: Column, levels: int = 2) -> Column:
+    """`text`, which starts at place `begin`, with disjoint spans replaced by their kinds.
+
+    A cut counts its place from the front, so a text is cut into pieces of many spans
+    first, and these into smaller ones.
+    """
+
+    def piece(start: Column, end: Column) -> Column:
+        return F.substring(text, start - begin + 1, end - start)
+
+    def last_end(part: Column) -> Column:
+        return F.element_at(part, -1)["end"]
+
+    def ends_before(parts: Column, i: Column) -> Column:
+        return F.when(i == 0, begin).otherwise(F.get(parts, i - 1))
+
+    def pieces(parts: Column, ends: Column) -> Column:
+        if not levels:
+            return F.transform(
+                parts,
+                lambda s, i: F.concat(
+                    piece(ends_before(ends, i), s["start"]), F.lit("["), F.upper(s["kind"]), F.lit("]")
+                ),
+            )
+        return F.transform(
+            parts,
+            lambda part, i: let(
+                F.struct(ends_before(ends, i).alias("from"), part.alias("spans")),
+                lambda p: let(
+                    piece(p["from"], last_end(p["spans"])),
+                    lambda t: _blanked(t, p["from"], p["spans"], levels - 1),
+                ),
+            ),
+        )
+
+    def whole(parts: Column) -> Column:
+        ends = F.transform(parts, last_end if levels else (lambda s: s["end"]))
+        return let(
+            ends,
+            lambda e: F.concat(
+                F.array_join(pieces(parts, e), ""),
+                F.substring(text, F.element_at(e, -1) - begin + 1, F.length(text)),
+            ),
+        )
+
+    parts = chunks(spans, CHUNK**levels) if levels else spans
+    return F.when(F.size(spans) > 0, let(parts, whole)).otherwise(text)
+
+
 def redact(docs: DataFrame, plan: Bootstrap = PLAN) -> DataFrame:
     """`docs` with every span replaced by its kind in brackets.
 
@@ -309,25 +429,7 @@ def redact(docs: DataFrame, plan: Bootstrap = PLAN) -> DataFrame:
     """
     found = find_pii(docs, plan).select("key", F.concat("base", "extra").alias("__spans"))
     found = cut(found.where(F.size("__spans") > 0).dropDuplicates(["key"]).withColumnRenamed("key", "__of"))
-    order = F.array_sort(F.transform("__spans", lambda s: F.struct(s["start"], s["end"], s["kind"])))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
-
-    def step(state: Column, span: Column) -> Column:
-        between = F.substring("text", state["at"] + 1, span["start"] - state["at"])
-        parts = F.when(
-            span["start"] >= state["at"],
-            F.concat(state["parts"], F.array(between, F.concat(F.lit("["), F.upper(span["kind"]), F.lit("]")))),
-        ).otherwise(state["parts"])
-        return F.struct(F.greatest(state["at"], span["end"]).alias("at"), parts.alias("parts"))
-
-    clean = F.aggregate(
-        order,
-        start,
-        step,
-        lambda s: F.concat(
-            F.array_join(s["parts"], ""), F.substring("text", s["at"] + 1, F.length("text"))
-        ),
-    )
+    clean = let(_merged(F.col("__spans")), lambda spans: _blanked(F.col("text"), F.lit(0), spans))
     joined = docs.withColumn("__key", row_key("doc_id", "text")).join(
         found, F.col("__key") == F.col("__of"), "left"
     )

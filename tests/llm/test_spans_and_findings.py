@@ -1,6 +1,7 @@
 """Operators 2 and 4: places against Python's regular expressions, and what is added."""
 
 import hashlib
+import random
 import re
 
 import duckdb
@@ -249,3 +250,45 @@ def test_a_very_long_word_is_read_once(spark):
     text = "a" * 300_000 + " " + "1" * 300_000
     docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
     assert not pii.find_pii(docs).first()["base"]
+
+
+def test_a_hundred_thousand_matches_in_one_text(spark):
+    """Work in a row grows with its matches; places, contexts and redaction stay right."""
+    text = " ".join(f"a{i}@mail.org {i}.2.3.4" for i in range(33_000))
+    long = spark.createDataFrame([(1, text, "en", "a", len(text))], "doc_id long, text string, lang string, source string, n_chars long")
+    row = long.select(find_spans(F.col("text"), "[0-9]{2,}").alias("s")).first()
+    wanted = [(m.start(), m.end()) for m in re.finditer("[0-9]{2,}", text)]
+    assert [(s["start"], s["end"]) for s in row["s"]] == wanted and len(wanted) > 65_000
+    found = pii.find_pii(long).first()
+    assert len(found["base"]) == 66_000 - sum(i > 255 for i in range(33_000)) and found["extra"] == []
+    clean = pii.redact(long).first()
+    expected = " ".join("[EMAIL] " + ("[IP]" if i < 256 else f"{i}.2.3.4") for i in range(33_000))
+    assert clean["text"] == expected and clean["n_chars"] == len(expected)
+
+
+@pytest.mark.parametrize("n", [0, 1, 63, 64, 65, 4096, 4097, 5000])
+def test_running_values_over_chunks(spark, n):
+    from fieldtally.llm.spans import added, apart, before_each, larger
+
+    r = random.Random(n)
+    numbers = [r.randrange(50) for _ in range(n)]
+    items = sorted({(a, a + r.randrange(1, 4)) for a in range(0, 4 * n, 4) if r.random() < 0.7})
+    base = [(a, a + r.randrange(1, 9)) for a in (r.randrange(4 * n + 1) for _ in range(n // 3))]
+    kind = "array<struct<start:int,end:int>>"
+    df = spark.createDataFrame([(numbers, items, base)], f"x array<int>, items {kind}, base {kind}")
+    got = df.select(
+        before_each(F.col("x"), added).alias("sums"),
+        before_each(F.col("x"), larger).alias("most"),
+        apart(F.col("items"), F.col("base")).alias("free"),
+    ).first()
+    assert got["sums"] == [sum(numbers[:i]) for i in range(n)]
+    assert got["most"] == [max(numbers[:i], default=0) for i in range(n)]
+    free = [x for x in items if not any(b[0] < x[1] and x[0] < b[1] for b in base)]
+    assert [tuple(x) for x in got["free"]] == free
+
+
+def test_overlapping_spans_are_redacted_as_one(spark):
+    spans = [(0, 3, "ip"), (2, 6, "phone"), (5, 9, "card"), (9, 10, "email"), (15, 20, "ip"), (16, 17, "email")]
+    df = spark.createDataFrame([("0123456789abcdefghijklm", spans)], "text string, s array<struct<start:int,end:int,kind:string>>")
+    row = df.select(pii._blanked(F.col("text"), F.lit(0), pii._merged(F.col("s"))).alias("t")).first()
+    assert row["t"] == "[IP][EMAIL]abcde[IP]klm"
