@@ -10,7 +10,8 @@ from pyspark.sql import SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder of `spark.checkpoint.dir`, or one in the warehouse if unset.
 
-    Both are shared on a cluster; a folder of one machine is never used.
+    A cluster has to set one of the two to a folder that all its machines share: the
+    warehouse that Spark takes by itself is a folder of the driver's machine.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
