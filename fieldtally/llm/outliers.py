@@ -2,9 +2,10 @@
 
 Statistics of every whole text first meet fixed base rules. The rest are judged
 against the minimum-covariance-determinant estimate of their language and source:
-from coordinate-wise medians on, each concentration step measures all rows,
-keeps the share with the smallest Mahalanobis distances and takes the mean and
-covariance of those again. All rows of a group take part in each step as sums per
+each concentration step measures all rows, keeps the share with the smallest
+Mahalanobis distances and takes the mean and covariance of those again. Two starts,
+coordinate-wise medians and the plain mean and covariance, are carried through all
+steps, and the one that ends with the smaller determinant counts. All rows of a group take part in each step as sums per
 group, combined before the shuffle; no group is gathered anywhere. The share is
 found in a histogram of the distances, so reruns agree.
 
@@ -17,6 +18,7 @@ gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -40,22 +42,54 @@ class OutlierPlan:
     """Which share the estimate rests on, and how far a row may lie from it.
 
     `floors` are deviations below which no coordinate is told apart: most texts
-    have no symbols or repeats at all, so their spread alone would be zero.
-    `cutoff` is a squared distance, far in the tail of chi-square for this many
-    coordinates, as the statistics of short texts have heavy tails.
+    have no symbols or repeats at all, so their spread alone would be zero. They are
+    what one event changes in a text of about 200 words: one symbol (0.07), one repeated
+    line (0.13), nine words of two overlapping windows (0.21, half of it here, so that
+    shares of repeats which the base rules pass can still reject), and 5 % of the word
+    length. `tail` is the share of normal rows beyond the cutoff: small, as the
+    statistics of short texts have heavy tails.
     """
 
     share: float = 0.75
     steps: int = 5
     least_rows: int = 50
-    floors: tuple[float, ...] = (0.12, 0.12, 0.12, 0.12)
-    cutoff: float = 25.0
+    floors: tuple[float, ...] = (0.05, 0.07, 0.13, 0.1)
+    tail: float = 5e-5
+
+    @property
+    def cutoff(self) -> float:
+        """The squared distance beyond which a row is rejected."""
+        return chi_square_quantile(1 - self.tail, DIM)
+
+    @property
+    def consistent(self) -> float:
+        """What makes the covariance of the kept share that of all normal rows."""
+        return self.share / chi_square(chi_square_quantile(self.share, DIM), DIM + 2)
 
 
-PLAN = OutlierPlan()
 DIM = 4
 
 
+def chi_square(x: float, degrees: int) -> float:
+    """Distribution function for an even number of degrees."""
+    term, total = 1.0, 0.0
+    for k in range(degrees // 2):
+        total += term
+        term *= x / 2 / (k + 1)
+    return 1 - math.exp(-x / 2) * total
+
+
+def chi_square_quantile(share: float, degrees: int) -> float:
+    low, high = 0.0, 1000.0
+    for _ in range(100):
+        mid = (low + high) / 2
+        low, high = (mid, high) if chi_square(mid, degrees) < share else (low, mid)
+    return high
+
+
+PLAN = OutlierPlan()
+
+
 def repeated_words(ids: np.ndarray) -> int:
     """Words inside windows of eight that occur twice or more."""
     n = len(ids)
@@ -153,7 +187,7 @@ def _bin(d: Column) -> Column:
     return F.floor(F.log2(d + 1e-6) * BINS)
 
 
-ESTIMATE = "g string, mean array<double>, inverse array<double>"
+ESTIMATE = "g string, mean array<double>, inverse array<double>, size double"
 
 
 def _invert(plan: OutlierPlan, covered: float):
@@ -162,14 +196,15 @@ def _invert(plan: OutlierPlan, covered: float):
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            means, inverses = [], []
+            means, inverses, sizes = [], [], []
             for n, first, second in zip(frame["n"], frame["first"], frame["second"], strict=True):
                 mean = np.asarray(first, float) / n
                 square = np.asarray(second, float).reshape(DIM, DIM) / n
                 spread = (square - np.outer(mean, mean)) * covered + ridge
                 means.append(np.round(mean, 9))
                 inverses.append(np.round(np.linalg.inv((spread + spread.T) / 2), 6).ravel())
-            yield pd.DataFrame({"g": frame["g"], "mean": means, "inverse": inverses})
+                sizes.append(round(float(np.linalg.slogdet(spread)[1]), 6))
+            yield pd.DataFrame({"g": frame["g"], "mean": means, "inverse": inverses, "size": sizes})
 
     return run
 
@@ -246,21 +281,29 @@ def _measured(rows: DataFrame, estimate: DataFrame) -> DataFrame:
     )
 
 
-#: Makes the covariance of the kept 75 % consistent at the normal distribution.
-CONSISTENT = 1.6
+#: Names of the starts, behind the name of the group.
+STARTS = ("/medians", "/moments")
 
 
 def estimates(rows: DataFrame, plan: OutlierPlan = PLAN) -> DataFrame:
     """(g, mean, inverse) of every group of `rows` (g, z, salt)."""
-    estimate = cut(_start(rows, plan))
+    named = F.explode(F.array(*(F.concat("g", F.lit(name)) for name in STARTS)))
+    medians = _start(rows, plan).withColumn("g", F.concat("g", F.lit(STARTS[0])))
+    moments = _moments(rows).mapInPandas(_invert(plan, 1.0), ESTIMATE).drop("size")
+    moments = moments.withColumn("g", F.concat("g", F.lit(STARTS[1])))
+    estimate = cut(medians.unionByName(moments))
+    rows = rows.withColumn("g", named)
     for step in range(plan.steps):
         measured = _measured(rows, estimate).select("g", "salt", "z", _bin(F.col("d2")).alias("bin"))
         counts = measured.groupBy("g", "bin").agg(F.count(F.lit(1)).alias("n"))
         edges = cut(_share_bins(counts, ["g"], plan.share, "edge"))
         kept = measured.join(_spread(edges), _on_group()).where("bin <= edge")
-        covered = CONSISTENT if step == plan.steps - 1 else 1.0
-        estimate = cut(_moments(kept).mapInPandas(_invert(plan, covered), ESTIMATE))
-    return estimate
+        covered = plan.consistent if step == plan.steps - 1 else 1.0
+        last = cut(_moments(kept).mapInPandas(_invert(plan, covered), ESTIMATE))
+        estimate = last.drop("size")
+    best = F.min_by(F.struct("mean", "inverse"), F.struct("size", "g")).alias("e")
+    group = F.regexp_replace("g", "/[a-z]+$", "")
+    return cut(last.groupBy(group.alias("g")).agg(best).select("g", "e.*"))
 
 
 def salt(*columns: str) -> Column:

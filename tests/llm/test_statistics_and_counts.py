@@ -82,7 +82,76 @@ def test_estimate_equals_plain_concentration(spark):
     inside = z[np.argsort(d2)[: int(0.75 * len(z))]]
     assert inside.mean(0) == pytest.approx(mean, abs=0.08)
     spread = np.linalg.inv(inverse) - np.diag(np.square(plan.floors))
-    assert np.cov(inside.T) * outliers.CONSISTENT == pytest.approx(spread, abs=0.12)
+    assert np.cov(inside.T) * plan.consistent == pytest.approx(spread, abs=0.12)
+
+
+def plain_verdicts(z, plan):
+    """Concentration steps over sorted distances, from both starts; True where a row is kept."""
+    def estimate(some, factor=1.0):
+        return some.mean(0), np.cov(some.T, bias=True) * factor + np.diag(np.square(plan.floors))
+
+    def distances(mean, spread):
+        gap = z - mean
+        return np.einsum("ij,jk,ik->i", gap, np.linalg.inv(spread), gap)
+
+    low, mid, high = np.quantile(z, [0.25, 0.5, 0.75], axis=0)
+    ends = []
+    for mean, spread in ((mid, np.diag(((high - low) / 1.349) ** 2 + np.square(plan.floors))), estimate(z)):
+        for step in range(plan.steps):
+            inside = z[np.argsort(distances(mean, spread), kind="stable")[: int(np.ceil(plan.share * len(z)))]]
+            mean, spread = estimate(inside, plan.consistent if step == plan.steps - 1 else 1.0)
+        ends.append((np.linalg.slogdet(spread)[1], distances(mean, spread)))
+    return min(ends, key=lambda x: x[0])[1]
+
+
+def made_documents():
+    """Plain texts, and from number 400 on ten of each kind that lies apart in one coordinate."""
+    r = np.random.default_rng(4)
+
+    def words(n, low=2, high=9):
+        return ["".join(r.choice(list("abcdefghijklmnop"), r.integers(low, high))) for _ in range(n)]
+
+    def text(kind):
+        n = int(r.integers(100, 200))
+        some = words(n, 14, 22) if kind == "long" else words(n)
+        if kind == "symbols":
+            some = [w + "#%" for w in some]
+        if kind == "repeats":  # about a quarter of the words, below the base rule's 30 %
+            some[-n // 8 :] = some[: len(some[-n // 8 :])]
+        lines = [" ".join(some[i : i + 10]) for i in range(0, n, 10)]
+        if kind == "lines":
+            lines += ["menu"] * 40
+        return "\n".join(lines)
+
+    kinds = ["plain"] * 400 + [k for k in ("long", "symbols", "repeats", "lines") for _ in range(10)]
+    return [(i, text(kind), "en", "s") for i, kind in enumerate(kinds)]
+
+
+def test_each_coordinate_can_reject(spark):
+    docs = made_documents()
+    got = {r["doc_id"]: r for r in outliers.judge(spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")).collect()}
+    assert not any(r["base_failed"] for r in got.values())
+    assert [i for i, r in got.items() if r["kept"]] and {i for i, r in got.items() if not r["kept"]} == set(range(400, 440))
+
+
+def test_verdicts_equal_a_plain_form(spark, corpus):
+    """A whole table in one group; distances differ by no more than the bins of the share."""
+    docs = corpus.withColumns({"lang": F.lit("en"), "source": F.lit("s")})
+    stats = {r["doc_id"]: r for r in outliers.with_statistics(docs).collect()}
+    good = sorted(i for i, r in stats.items() if not r["base_failed"])
+    wanted = dict(zip(good, plain_verdicts(np.array([stats[i]["z"] for i in good]), outliers.PLAN), strict=True))
+    got = {r["doc_id"]: r for r in outliers.judge(docs).collect()}
+    cutoff = outliers.PLAN.cutoff
+    for i in good:
+        near = abs(wanted[i] - cutoff) < 0.1 * cutoff
+        assert near or got[i]["kept"] == (wanted[i] <= cutoff), (i, wanted[i], got[i]["d2"])
+    assert all(not got[i]["kept"] for i in stats if i not in wanted)
+
+
+def test_chi_square():
+    assert outliers.chi_square(9.487729, 4) == pytest.approx(0.95, abs=1e-6)
+    assert outliers.chi_square_quantile(0.975, 4) == pytest.approx(11.143287, abs=1e-5)
+    assert outliers.PLAN.consistent == pytest.approx(1.4864, abs=1e-4)
 
 
 def test_small_groups_are_pooled(spark):
