@@ -109,20 +109,21 @@ class MonitoringTable:
     def write(self, path: str, mode: str = "error") -> str:
         """Store numbers and dictionary as one version of a report; returns its folder.
 
-        Both are written below ``path/versions`` first. Only then one line is appended
-        to ``path/manifest``, which ``read_report`` follows, so readers see the whole
-        new report or the former one. A write that fails leaves a folder that nothing
-        refers to. ``mode`` is "error", which refuses a path that holds a report, or
-        "overwrite".
+        The first version lies in ``path`` itself, later ones below ``path/versions``.
+        Only when both parts are written, one line is appended to ``path/manifest``,
+        which ``read_report`` follows, so readers see the whole new report or the former
+        one. A write that fails leaves files that nothing refers to. ``mode`` is "error",
+        which refuses a path that holds a report, or "overwrite".
         """
         if mode not in ("error", "overwrite"):
             raise ValueError(f"unknown mode {mode!r}, expected 'error' or 'overwrite'")
         spark = self.stats.sparkSession
         former = _newest(spark, path)
         if former is not None and mode == "error":
-            raise FileExistsError(f"{path} already holds a report")
-        version = uuid.uuid4().hex
-        folder = f"{path}/versions/{version}"
+            raise FileExistsError(f"{path}: a report already exists")
+        fresh = former is None and not _exists(spark, f"{path}/dictionary")
+        version = "." if fresh else f"versions/{uuid.uuid4().hex}"
+        folder = path if fresh else f"{path}/{version}"
         self.dictionary().coalesce(1).write.parquet(f"{folder}/dictionary")
         self.stats.write.parquet(f"{folder}/stats")
         number = 0 if former is None else former["number"] + 1
@@ -131,14 +132,21 @@ class MonitoringTable:
         return folder
 
 
-def _newest(spark: SparkSession, path: str) -> Row | None:
-    """The manifest's last line; of equal numbers, written at the same time, one wins."""
+def _exists(spark: SparkSession, path: str) -> bool:
     try:
-        manifest = spark.read.schema(MANIFEST_SCHEMA).json(f"{path}/manifest")
+        spark.read.text(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return None
+            return False
         raise
+    return True
+
+
+def _newest(spark: SparkSession, path: str) -> Row | None:
+    """The manifest's last line; of equal numbers, written at the same time, one wins."""
+    if not _exists(spark, f"{path}/manifest"):
+        return None
+    manifest = spark.read.schema(MANIFEST_SCHEMA).json(f"{path}/manifest")
     return manifest.orderBy(F.desc("number"), F.desc("version")).first()
 
 
@@ -147,7 +155,7 @@ def read_report(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     entry = _newest(spark, path)
     if entry is None:
         raise FileNotFoundError(f"no report in {path}")
-    folder = f"{path}/versions/{entry['version']}"
+    folder = path if entry["version"] == "." else f"{path}/{entry['version']}"
     return spark.read.parquet(f"{folder}/stats"), spark.read.parquet(f"{folder}/dictionary")
 
 

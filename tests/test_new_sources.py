@@ -215,3 +215,24 @@ def test_overwriting_a_report(spark, tmp_path):
         assert isinstance(stats, DataFrame) and stats.columns == table.stats.columns
         assert stats.count() == table.stats.count()
         assert {r["report"] for r in dictionary.collect()} == {key}
+
+
+def test_a_failed_first_write_can_be_repeated(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "report")
+    table = report_table(spark, SF_DIR, "crop_types")
+    writer = type(table.stats.write)
+    plain = writer.parquet
+
+    def failing(self, target, *args, **kwargs):
+        if target.endswith("/stats"):
+            raise OSError("no space left")
+        return plain(self, target, *args, **kwargs)
+
+    monkeypatch.setattr(writer, "parquet", failing)
+    with pytest.raises(OSError, match="space"):
+        table.write(path)
+    monkeypatch.undo()
+    with pytest.raises(FileNotFoundError):
+        ft.read_report(spark, path)
+    table.write(path)
+    assert spark_result(ft.read_report(spark, path)[0]) == spark_result(table.stats)
