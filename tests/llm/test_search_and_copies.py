@@ -57,6 +57,57 @@ def test_bounds_prune(spark):
     assert ((middle + reach) >= (middle - reach)[0]).ravel().tolist() == [True, False, False]
 
 
+def test_cell_bounds_hold():
+    """Every product between a cell and a group lies within the bounds from their summaries."""
+    from fieldtally.llm.voronoi_knn import Summaries, _nearest, cell_bounds, sure_scores
+
+    r = np.random.default_rng(4)
+    centers = r.integers(-200, 200, (5, 6))
+    data, asking = r.integers(-300, 300, (300, 6)), r.integers(-300, 300, (60, 6))
+
+    def summed(v):
+        near, d = _nearest(v, centers)
+        norm = np.sqrt((v * v).sum(1))
+        of = [near == c for c in range(5)]
+        return near, Summaries(*(np.array([f(x[m]) for m in of]) for f, x in
+                                 ((len, d), (np.min, d), (np.max, d), (np.min, norm), (np.max, norm))))
+
+    (cell, cells), (group, groups) = summed(data), summed(asking)
+    low, high = cell_bounds(centers, cells, groups)
+    scores = data @ asking.T
+    assert (scores >= low[cell][:, group]).all() and (scores <= high[cell][:, group]).all()
+    sure = sure_scores(low, cells, 6)
+    assert (np.sort(scores, axis=0)[-6] >= sure[group]).all()
+
+
+def test_cells_meet_few_groups(spark):
+    """In separate clusters most pairs of cell and bundle are never sent."""
+    from fieldtally.llm.voronoi_knn import Summaries, bundles, cell_bounds, sure_scores
+
+    centers = np.array([[1000, 0], [0, 1000], [-1000, 0], [0, -1000]])
+    one = np.ones(4)
+    s = Summaries(100 * one, 0 * one, 20 * one, 980 * one, 1020 * one)
+    low, high = cell_bounds(centers, s, s)
+    assert (high >= sure_scores(low, s, 6)).tolist() == np.eye(4, dtype=bool).tolist()
+    bundle, blocks = bundles(np.array([3, 4, 2, 25, 1]), 8)
+    assert bundle.tolist() == [0, 0, 1, 2, 3] and blocks.tolist() == [1, 1, 4, 1]
+
+
+@pytest.mark.parametrize("plan", [KnnPlan(), KnnPlan(group=3, block=4, packed=9)])
+def test_ids_with_several_vectors(spark, plan):
+    """Every vector of an id asks, and each of a candidate's vectors counts."""
+    r = np.random.default_rng(9)
+    rows = {(int(i), tuple(map(float, v))) for i, v in zip(r.integers(0, 40, 200), r.integers(-4, 4, (200, 3)), strict=True)}
+    rows |= {(10, (5.0, 5.0, float(x))) for x in range(12)}  # its own vectors are all nearest
+    df = spark.createDataFrame([(i, list(v), 1) for i, v in rows], VECTORS)
+    got = top_k(df.union(df), F.col("vec_id") % 10 == 0, plan).collect()
+    wanted = []
+    for q in range(0, 40, 10):
+        pairs = [(-65536 * int(np.dot(v, w)), j) for i, v in rows if i == q for j, w in rows if j != q]
+        wanted += [(q, n + 1, j, -s) for n, (s, j) in enumerate(sorted(pairs)[:5])]
+    assert sorted(map(tuple, got)) == wanted
+
+
 def test_awkward_vectors(spark, at):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [0.5, 0.25]), (0, [0.5, 0.25]), (50, None), (100, [nan, 1.0]), (150, [inf, 0.0]), (200, [None, 1.0]),
