@@ -183,6 +183,21 @@ def test_counts_equal_the_tokenizer(vocabulary, texts):
         assert counter.word(w.encode()) == len(wanted.tokenize("▁" + w)), w
 
 
+def test_scores_are_log_probabilities_near_the_ranked_model(vocabulary, texts):
+    import math
+
+    import sentencepiece
+
+    assert math.fsum(math.exp(s) for s in vocabulary.scores) == pytest.approx(1)
+    order = sorted(zip(vocabulary.scores, vocabulary.pieces, strict=True), reverse=True)
+    assert [p for _, p in order[:2]] == ["▁t", "in"]
+    model = sentencepiece.SentencePieceProcessor(model_file=viterbi_counts.TOKENIZER)
+    counter = viterbi_counts.Counter(vocabulary)
+    some = [t for t in texts.values() if t]
+    ranked = sum(map(len, model.encode(some)))
+    assert sum(counter.text(t)[1] for t in some) == pytest.approx(ranked, rel=0.04)
+
+
 def test_ties_go_to_the_longest_last_piece():
     tied = viterbi_counts.Vocabulary(("a", "b", "ab", "ba", "aba", "▁"), (-1.0, -1.0, -2.0, -2.0, -3.0, -1.0))
     wanted, counter = tokenizer(tied), viterbi_counts.Counter(tied)
