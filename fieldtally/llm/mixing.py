@@ -1,7 +1,8 @@
 """Operator 7: mix sources to target weights by a hypergeometric splitting tree.
 
-Every source's documents are dealt by hash into blocks, and its blocks into a
-pseudo-random order. A target in words becomes an exact quota of block draws:
+Every source's documents are dealt by hash into blocks, as many as its words fill,
+and its blocks into a pseudo-random order. Ranks and sums along that order come in
+two steps, over stretches of it and inside each, so no task holds a source's blocks. A target in words becomes an exact quota of block draws:
 whole passes over the source, then the first blocks of one more pass, the last
 of them in part. A binary tree splits the quotas of all sources among the output
 shards: at each node the draws of the left half are multivariate hypergeometric,
@@ -9,6 +10,9 @@ so a shard is what a full shuffle would give it, but the tree handles counts
 only. The draws a leaf gets are disjoint ranges of the permuted blocks, and its
 documents are ordered by hash. Built-in functions only; reruns agree.
 
+`targets` looks at all sources in one task, and a node of the tree holds one number
+for each of them: meant for up to some hundred thousand sources.
+
 Sources sort by code point, NULL last; a NULL source is a source. NULL and empty
 texts have size 0 and are never taken. Equal rows share a place in the order and
 are taken alike or at the edge of a quota in either order. An empty table gives
@@ -33,9 +37,13 @@ class MixPlan:
     weights: tuple[int, ...] = (3, 1, 2)
     share: float = 1.5
     most_repeats: int = 2
-    #: A quota is cut inside one block; more blocks make that cut cheaper.
-    blocks_per_source: int = 2048
+    #: Blocks of a source at least.
+    blocks_per_source: int = 16
     shard_words: int = 1_000_000
+    #: Blocks whose words fill a shard.
+    blocks_per_shard: int = 32
+    #: Blocks of a stretch of a source's order, about.
+    stretch: int = 4096
     seed: int = 7
 
 
@@ -43,19 +51,27 @@ PLAN = MixPlan()
 
 
 def sized(docs: DataFrame, plan: MixPlan = PLAN) -> DataFrame:
-    """Rows with their key, size, block and place in the block."""
+    """Rows with their key, size and place in their block."""
     key = row_key("doc_id", "text", "source")
     return docs.select("doc_id", "text", "source").select(
         "doc_id",
         "source",
         word_count(F.col("text")).alias("size"),
         key.alias("key"),
-    ).withColumns(
-        {
-            "block": F.pmod(F.xxhash64("key", F.lit(plan.seed)), F.lit(plan.blocks_per_source)),
-            "place": F.xxhash64("key", F.lit(plan.seed + 1)),
-        }
+    ).withColumn("place", F.xxhash64("key", F.lit(plan.seed + 1)))
+
+
+def in_blocks(rows: DataFrame, plan: MixPlan = PLAN) -> DataFrame:
+    """`rows` with their block; a source has as many as its words fill."""
+    filled = F.ceil(F.sum("size") * plan.blocks_per_shard / plan.shard_words)
+    sources = cut(
+        rows.groupBy(F.col("source").alias("of")).agg(
+            F.greatest(filled, F.lit(plan.blocks_per_source)).cast("long").alias("dealt")
+        )
     )
+    joined = rows.join(sources, F.col("source").eqNullSafe(F.col("of")))
+    block = F.pmod(F.xxhash64("key", F.lit(plan.seed)), F.col("dealt"))
+    return joined.withColumn("block", block).drop("of", "dealt")
 
 
 def targets(blocks: DataFrame, plan: MixPlan = PLAN) -> DataFrame:
@@ -104,16 +120,30 @@ def quotas(blocks: DataFrame, goals: DataFrame, plan: MixPlan = PLAN) -> DataFra
     words the last pass takes (NULL for none). `draws` are its places in the
     source's order of draws.
     """
-    order = Window.partitionBy("source").orderBy(
-        F.xxhash64("block", F.lit(plan.seed + 2)), "block"
-    )
-    whole = Window.partitionBy("source")
     rows = blocks.join(goals, blocks["source"].eqNullSafe(goals["source"])).drop(goals["source"])
-    rows = rows.withColumns(
+    dealt = F.greatest(
+        F.ceil(F.col("source_size") * plan.blocks_per_shard / plan.shard_words), F.lit(plan.blocks_per_source)
+    )
+    spot = F.pmod(F.xxhash64("block", F.lit(plan.seed + 2)), F.lit(1 << 31))
+    # stretches divide the order evenly by the spot
+    stretch = F.floor(F.col("spot") / float(1 << 31) * F.ceil(dealt / plan.stretch))
+    rows = rows.withColumn("spot", spot).withColumn("stretch", stretch)
+    whole = Window.partitionBy("rank")
+    before = whole.orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    sums = rows.groupBy("rank", "stretch").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("size").alias("words")
+    ).select(
+        "rank",
+        "stretch",
+        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n_before"),
+        F.coalesce(F.sum("words").over(before), F.lit(0)).alias("words_before"),
+        F.sum("n").over(whole).alias("blocks"),
+    )
+    order = Window.partitionBy("rank", "stretch").orderBy("spot", "block")
+    rows = rows.join(sums, ["rank", "stretch"]).withColumns(
         {
-            "at": F.row_number().over(order) - 1,
-            "blocks": F.count(F.lit(1)).over(whole),
-            "start": F.sum("size").over(order) - F.col("size"),
+            "at": F.col("n_before") + F.row_number().over(order) - 1,
+            "start": F.col("words_before") + F.sum("size").over(order) - F.col("size"),
             "full": F.floor(
                 F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0)
             ),
@@ -148,26 +178,27 @@ def _hypergeometric(n: Column, rest: Column, left: Column, u: Column) -> Column:
     def ratio(k: Column) -> Column:
         return ((n - k + 1) * (left - k + 1)) / (k * (rest - left + k))
 
-    def walk(state: Column, k: Column) -> Column:
-        weight = F.when(k == lowest, F.lit(1.0)).otherwise(state["weight"] * ratio(k.cast("double")))
+    def next_weight(state: Column, k: Column) -> Column:
+        return F.when(state["weight"] < 0, F.lit(1.0)).otherwise(state["weight"] * ratio(k.cast("double")))
+
+    before = F.struct(F.lit(-1.0).alias("weight"), F.lit(0.0).alias("sum"), F.lit(0).cast("long").alias("below"))
+
+    def walk(state: Column, k: Column, stop: Column) -> Column:
+        weight = next_weight(state, k)
         return F.struct(
             weight.alias("weight"),
             (state["sum"] + weight).alias("sum"),
-            F.concat(state["sums"], F.array(state["sum"] + weight)).alias("sums"),
+            (state["below"] + (state["sum"] + weight < stop).cast("long")).alias("below"),
         )
 
-    first = F.struct(
-        F.lit(0.0).alias("weight"),
-        F.lit(0.0).alias("sum"),
-        F.array().cast("array<double>").alias("sums"),
-    )
-    return F.aggregate(
-        steps,
-        first,
-        walk,
-        lambda s: lowest.cast("long")
-        + F.size(F.filter(s["sums"], lambda x: x < u * s["sum"])),
+    # once for the sum of all weights, once for the place of `u` in it
+    total = F.aggregate(steps, before, lambda s, k: walk(s, k, F.lit(0.0)), lambda s: s["sum"])
+    below = F.aggregate(
+        F.array(u * total),
+        F.lit(0).cast("long"),
+        lambda _, stop: F.aggregate(steps, before, lambda s, k: walk(s, k, stop), lambda s: s["below"]),
     )
+    return lowest.cast("long") + below
 
 
 #: The tree grows in one task for so many levels; then its nodes are dealt out.
@@ -254,7 +285,7 @@ def mix(docs: DataFrame, plan: MixPlan = PLAN) -> DataFrame:
 
     `shards` lists the shard of each time the row is taken; `place` orders a shard.
     """
-    rows = cut(sized(docs, plan))
+    rows = cut(in_blocks(cut(sized(docs, plan)), plan))
     blocks = rows.groupBy("source", "block").agg(F.sum("size").alias("size"))
     blocks = cut(blocks)
     goals = cut(targets(blocks, plan))
@@ -310,12 +341,19 @@ def mix(docs: DataFrame, plan: MixPlan = PLAN) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, plan: MixPlan = PLAN) -> DataFrame:
-    """The mix itself: the rows of `docs`, each as often as it is taken."""
-    taken = mix(docs, plan).where("taken > 0")
-    # rows that are equal in key are one group here, so that the join multiplies none
-    turns = taken.groupBy(F.col("key").alias("__of")).agg(
-        F.sum(F.size("shards")).alias("__turns"), F.count(F.lit(1)).alias("__copies")
-    )
+    """The mix itself: the rows of `docs`, each as often as it is taken.
+
+    A partition holds whole shards, and a shard's rows follow its order, so files
+    written from the result are shards in turn.
+    """
+    # Rows that are equal in key are one group here, so that the join multiplies none.
+    # They lie in one block, so the longest list of shards holds those of all.
+    turns = mix(docs, plan).groupBy(F.col("key").alias("__of")).agg(
+        F.sum(F.size("shards")).alias("__turns"),
+        F.count(F.lit(1)).alias("__copies"),
+        F.max(F.struct(F.size("shards").alias("n"), "shards"))["shards"].alias("__shards"),
+        F.first("place").alias("__place"),
+    ).where("__turns > 0")
     keyed = docs.withColumn("__key", row_key("doc_id", "text", "source"))
     joined = keyed.join(turns, F.col("__key") == F.col("__of"))
     # equal rows share their turns: the first ones in any order get one more
@@ -330,8 +368,10 @@ def mixed_documents(docs: DataFrame, plan: MixPlan = PLAN) -> DataFrame:
     return (
         joined.withColumn("__n", number.cast("int"))
         .where("__n > 0")
-        .select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("__n"))).alias("__turn"))
-        .drop("__turn")
+        .select(*docs.columns, "__place", F.explode(F.slice("__shards", F.lit(1), F.col("__n"))).alias("__shard"))
+        .repartition("__shard")
+        .sortWithinPartitions("__shard", "__place")
+        .select(*docs.columns)
     )
 
 

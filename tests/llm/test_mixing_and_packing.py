@@ -78,6 +78,45 @@ def test_mix_with_a_hot_source_and_many_shards(spark):
     assert counts == {r["doc_id"]: len(r["shards"]) for r in rows if r["shards"]}
 
 
+def test_blocks_follow_the_size(spark):
+    """Thousands of shards, a source far larger than the others, stretches of few blocks."""
+    docs = spark.range(60000).select(
+        F.col("id").alias("doc_id"),
+        F.expr("repeat('w ', int(1 + id % 7))").alias("text"),
+        F.expr("CASE WHEN id % 40 > 0 THEN 'large' ELSE concat('s', id % 3) END").alias("source"),
+    )
+    plan = mixing.MixPlan(shard_words=200, blocks_per_shard=20, blocks_per_source=1, stretch=50)
+    rows = mixing.mix(docs, plan).collect()
+    check_mix(docs, rows, near=0.001)
+    words = collections.Counter()
+    for r in rows:
+        for s in r["shards"]:
+            words[s] += r["size"]
+    assert len(words) > 1500 and set(words) == set(range(len(words)))
+    assert max(words.values()) < 2 * plan.shard_words and min(words.values()) > plan.shard_words / 2
+
+
+def test_mix_keeps_shards_together_and_shares_the_turns_of_equal_rows(spark):
+    docs = spark.range(400).select(
+        F.expr("CASE WHEN id % 4 = 0 THEN 7 ELSE id END").alias("doc_id"),
+        F.expr("CASE WHEN id % 4 = 0 THEN 'a b c' ELSE concat('w ', repeat('x ', int(id % 9))) END").alias("text"),
+        F.expr("CASE WHEN id % 4 < 2 THEN 's' ELSE concat('t', id % 2) END").alias("source"),
+    ).replace({"t0": "s", "t1": "t"}, subset="source")
+    plan = mixing.MixPlan(share=0.4, shard_words=100)
+    part = mixing.mix(docs, plan).collect()
+    taken, places = collections.Counter(), collections.defaultdict(set)
+    for r in part:
+        taken[r["doc_id"]] += len(r["shards"])
+        places[r["doc_id"]] |= set(r["shards"])
+    mixed = mixing.mixed_documents(docs, plan).withColumn("at", F.spark_partition_id()).collect()
+    assert collections.Counter(r["doc_id"] for r in mixed) == +taken
+    parts = collections.defaultdict(set)
+    for r in mixed:
+        if len(places[r["doc_id"]]) == 1:
+            parts[min(places[r["doc_id"]])].add(r["at"])
+    assert len(parts) > 2 and all(len(p) == 1 for p in parts.values())
+
+
 @pytest.mark.parametrize("shards", [1, 2, 5, 16])
 def test_tree_splits_quotas_exactly(spark, shards):
     quota = {1: 700, 2: 30, 3: 0, 4: 101}
